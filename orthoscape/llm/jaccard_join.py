@@ -42,12 +42,13 @@ def _band_width(percent: int) -> float:
     return (100 / percent) ** 2
 
 
-def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each document, the (band, parts, present) of its own band and of the band below.
+def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each document, the (band, parts, slack, present) of its own band and of the band below.
 
     Band i has sizes from ceil(w**i) up.  Pairs are keyed by the smaller set's
     band; a set also joins the band below if a set of that band can be its
-    smaller partner.  parts is d + 1 for the largest sizes that the band links.
+    smaller partner.  parts is d + 1 + slack for the largest sizes that the band
+    links, so that more than ``slack`` parts of linked sets are equal.
     """
     w = _band_width(percent)
     n = np.maximum(sizes, 1)
@@ -58,21 +59,25 @@ def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndar
     own = np.searchsorted(edges, n, "right") - 1
     largest = edges[1:] - 1  # of a band
     partner = largest * 100 // percent
-    parts = (100 - percent) * (largest + partner) // (100 + percent) + 1
+    differ = (100 - percent) * (largest + partner) // (100 + percent)
+    empty = 0.0125 * differ
+    slack = (empty + 1.6 * np.sqrt(empty)).astype(np.int64)
+    parts = differ + 1 + slack
     below = np.maximum(own - 1, 0)
-    return [(own, parts[own], sizes > 0), (below, parts[below], (sizes > 0) & (own > 0) & (n <= partner[below]))]
+    return [(own, parts[own], slack[own], sizes > 0), (below, parts[below], slack[below], (sizes > 0) & (own > 0) & (n <= partner[below]))]
 
 
 def parity_keys(tokens: np.ndarray, offsets: np.ndarray, percent: int, salt: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) of every part of every set; tokens ascending in each set.
 
-    Sets with an empty part, which says nothing, also send the keys of another
-    dealing of all tokens: two sets whose only equal parts are empty meet there.
+    Empty parts send no key.  Sets with more than ``slack`` of them also send the
+    keys of another dealing of all tokens: linked sets of which each equal part
+    is empty have as many both, and meet there.
     salt prefixes the keys, and selects another dealing.
     """
     sizes = np.diff(offsets)
     docs_out, keys_out = [], []
-    for which, (band, parts, present) in enumerate(band_plan(sizes, percent)):
+    for band, parts, slack, present in(band_plan(sizes, percent)):
         live = np.flatnonzero(present)
         own = tokens
         for level in range(LEVELS):
@@ -98,7 +103,7 @@ def parity_keys(tokens: np.ndarray, offsets: np.ndarray, percent: int, salt: np.
                 key = mix(key + salt[live][where])
             docs_out.append(live[where])
             keys_out.append(key)
-            empty = np.bincount(where, minlength=len(live)) < parts[live]
+            empty = np.bincount(where, minlength=len(live)) < (parts - slack)[live]
             if level == LEVELS - 1 and empty.any():
                 rest = live[empty]
                 docs_out.append(rest)
@@ -167,6 +172,8 @@ def _refiner(width: int, percent: int):
             for words in word_chunks(batch.column(2), lower=True):
                 tokens, offsets = shingles(words, width)
                 at, key = parity_keys(tokens, offsets, percent, salt[words.lo : words.hi])
+                own = _set_hashes(tokens, offsets).view(np.int64) == node[words.lo : words.hi]
+                at, key = at[own[at]], key[own[at]]
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[words.lo : words.hi][at])], ["key", "node"])
 
     return keys
@@ -250,6 +257,7 @@ def _comparer(width: int, percent: int):
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        seen: set[tuple] = set()
         at = None
 
         def flush():
@@ -263,6 +271,7 @@ def _comparer(width: int, percent: int):
             meta = batch.select(["hub", "lb", "rb", "node", "side", "copies", "hubs"]).to_pydict()
             for words in word_chunks(batch.column(batch.schema.get_field_index("text")), lower=True):
                 tokens, offsets = shingles(words, width)
+                own = _set_hashes(tokens, offsets).view(np.int64).tolist()
                 for d in range(words.hi - words.lo):
                     i = words.lo + d
                     here = (meta["hub"][i], meta["lb"][i], meta["rb"][i])
@@ -270,6 +279,10 @@ def _comparer(width: int, percent: int):
                         if held and (out := flush()) is not None:
                             yield out
                         held, at = [], here
+                        seen.clear()
+                    if own[d] != meta["node"][i] or (own[d], meta["side"][i]) in seen:  # an id that several rows have
+                        continue
+                    seen.add((own[d], meta["side"][i]))
                     held.append((meta["node"][i], meta["side"][i], meta["copies"][i], meta["hubs"][i], tokens[offsets[d] : offsets[d + 1]], here[0]))
         if held and (out := flush()) is not None:
             yield out
@@ -286,7 +299,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     A null or blank text has no shingle, links with nothing and is its own
     component; a text of fewer words is one shingle.  Copies and ties link as
     any pair; an empty table gives no rows; other columns are ignored; rows
-    with a null id are taken as one more document whose component is null.
+    with a null id keep their shingles' component of documents that have an id.
     """
     stage = Stage(spark, "jaccard")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -298,7 +311,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
 
     wanted = stage.write(multi.select("node").distinct(), "wanted")
     rep = classes.join(wanted, "node").select(F.col("first").alias("doc_id"), "node", "copies")
-    texts = stage.write(base.join(rep, "doc_id").dropDuplicates(["node"]), "texts")
+    texts = stage.write(base.join(rep, "doc_id"), "texts")
     stage.release()
 
     held = multi.groupBy("key").agg(F.count(F.lit(1)).alias("m"))

@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_components
+from .language_id import identify
+from .mixing import mix_sources
+from .packing import pack
+from .quality import quality_scores
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +22,36 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, _docs(spark, sf_dir))
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(spark, _docs(spark, sf_dir).select("doc_id", "source"))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(spark, _docs(spark, sf_dir))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, _docs(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(spark, _docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join,
+        op2_mix_sources,
+        op4_exact_dedup,
+        op6_quality_classifier,
+        op7_best_fit_packing,
+        op10_language_id,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}

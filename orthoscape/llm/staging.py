@@ -9,6 +9,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,8 +47,10 @@ class Stage:
 
     def release(self) -> None:
         """Let Spark's cleaner remove the shuffle files of finished queries."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.2)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -20,8 +20,12 @@ _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Class of each byte: 0 separates words.
+WORD = np.ones(256, np.uint8)
+WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+#: Letters, digits and bytes over 0x7F apart from signs.
+TOKEN = WORD * 2
+TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -54,15 +58,20 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of documents lo..hi-1 of a batch: hash, byte span, and word offsets of each document."""
+    """Words of documents lo..hi-1 of a batch: hash, byte span, and word offsets of each document.
 
-    def __init__(self, lo: int, hi: int, data: np.ndarray, bounds: np.ndarray, lower: bool, spans: bool = False):
+    A word is a run of bytes of one class that isn't 0.
+    """
+
+    def __init__(self, lo: int, hi: int, data: np.ndarray, bounds: np.ndarray, lower: bool, classes: np.ndarray):
         self.lo, self.hi, self.data, self.bounds = lo, hi, data, bounds
-        solid = ~_SPACE[data]
+        kind = classes[data]
+        solid = kind > 0
         first, last = solid.copy(), solid.copy()
         if len(data):
-            first[1:] &= ~solid[:-1]
-            last[:-1] &= ~solid[1:]
+            turn = kind[1:] != kind[:-1]
+            first[1:] &= turn
+            last[:-1] &= turn
             full = bounds[:-1] < bounds[1:]
             heads, tails = bounds[:-1][full], bounds[1:][full] - 1
             first[heads] = solid[heads]
@@ -79,14 +88,14 @@ class Words:
         return np.diff(self.offsets)
 
 
-def word_chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+def word_chunks(column: pa.Array, lower: bool = False, classes: np.ndarray = WORD) -> Iterator[Words]:
     """Words of all texts of the column, in chunks of about CHUNK_BYTES."""
     data, offsets = utf8(column)
     n, lo = len(offsets) - 1, 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK_BYTES, "right")) - 1)
         hi = min(hi, n)
-        yield Words(lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower)
+        yield Words(lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower, classes)
         lo = hi
 
 
