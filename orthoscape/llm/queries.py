@@ -12,6 +12,9 @@ from .language_id import identify
 from .mixing import mix_sources
 from .packing import pack
 from .quality import quality_scores
+from .rules import quality_rules
+from .secrets import scan_secrets
+from .toxicity import toxicity_scores
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +29,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(spark, _docs(spark, sf_dir).select("doc_id", "source"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_docs(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(spark, _docs(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(spark, _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -38,6 +49,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, _docs(spark, sf_dir))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_docs(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(spark, _docs(spark, sf_dir))
 
@@ -47,9 +62,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard_join,
         op2_mix_sources,
+        op3_quality_rules,
         op4_exact_dedup,
+        op5_toxicity,
         op6_quality_classifier,
         op7_best_fit_packing,
+        op9_secret_scan,
         op10_language_id,
     )
 }

@@ -72,8 +72,8 @@ def rank_in_group(df: DataFrame, keys: list[str], order: Column, out: str, rows_
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_order")
-    ranked = tagged.withColumn("_rank", F.row_number().over(inside) - 1)
-    return ranked.join(offsets, [*keys, "_bucket"]).withColumn(out, (F.col("_base") + F.col("_rank")).cast("long")).drop("_order", "_bucket", "_base", "_rank")
+    ranked = tagged.withColumn("_within", F.row_number().over(inside) - 1)
+    return ranked.join(offsets, [*keys, "_bucket"]).withColumn(out, (F.col("_base") + F.col("_within")).cast("long")).drop("_order", "_bucket", "_base", "_within")
 
 
 def attach_by_key(left: DataFrame, right: DataFrame, key: list[str], total: int, size: str, share: int = 1000) -> DataFrame:
