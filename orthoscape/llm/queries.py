@@ -14,6 +14,7 @@ from .packing import pack
 from .quality import quality_scores
 from .rules import quality_rules
 from .secrets import scan_secrets
+from .surrogates import replace_personal_data
 from .toxicity import toxicity_scores
 
 
@@ -49,6 +50,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, _docs(spark, sf_dir))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(spark, _docs(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_docs(spark, sf_dir))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_toxicity,
         op6_quality_classifier,
         op7_best_fit_packing,
+        op8_pii_surrogates,
         op9_secret_scan,
         op10_language_id,
     )

@@ -62,32 +62,35 @@ class CharModel:
         return found if found is not None else self.rare.get(context, -3.3)
 
 
-def _options(text: str, i: int) -> list[tuple[str, float]]:
+def _options(text: str, i: int, squeeze: bool) -> list[tuple[str, float]]:
     """Letters that the i-th sign can stand for, each with its channel log-probability."""
     c = text[i]
     if c.isalpha():
         out = [(c, 0.0)]
-        if i and text[i - 1] == c:
+        if squeeze and i and text[i - 1] == c:
             out.append(("", -0.3))
         return out
     if c in LOOKALIKE:
         out = [(x, -0.5 - 0.3 * k) for k, x in enumerate(LOOKALIKE[c])]
-        if i and text[i - 1] == c:
+        if squeeze and i and text[i - 1] == c:
             out.append(("", -0.3))
         out.append(("", -6.0))
         return out
     return [("", -0.2 if c in SEPARATORS else -4.0)]
 
 
-def decode(token: str, model: CharModel) -> str:
-    """The likeliest word for a token, by Viterbi; states are the last two letters."""
+def decode(token: str, model: CharModel, squeeze: bool = True) -> str:
+    """The likeliest word for a token, by Viterbi; states are the last two letters.
+
+    Without ``squeeze`` repeated letters stay, as doubled ones are common.
+    """
     text = token.lower()
     if len(text) > PIECE:
-        return "".join(decode(text[i : i + PIECE], model) for i in range(0, len(text), PIECE))
+        return "".join(decode(text[i : i + PIECE], model, squeeze) for i in range(0, len(text), PIECE))
     best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
     for i in range(len(text)):
         ahead: dict[str, tuple[float, str]] = {}
-        for letter, channel in _options(text, i):
+        for letter, channel in _options(text, i, squeeze):
             for state, (score, word) in best.items():
                 if letter:
                     to, total, made = state[1] + letter, score + channel + model.log_prob(state, letter), word + letter
@@ -138,7 +141,7 @@ class Restorer:
                 self.known.clear()
             token = raw.decode("utf-8", "replace")
             plain = token.rstrip("!$|+.-_*,;:?\"')").lstrip("+.-_*,;:?\"'(|")
-            restored = {decode(x, self.model) for x in (token, plain) if x} - {""}
+            restored = {decode(x, self.model, squeeze) for x in (token, plain) if x for squeeze in (True, False)} - {""}
             self.known[raw] = tuple(int(h) for w in word_chunks(pa.array(sorted(restored)), lower=True) for h in w.hash)
         return self.known[raw]
 
@@ -182,7 +185,7 @@ def train(spark: SparkSession, sample: DataFrame, epochs: int = 4):
     shared = spark.sparkContext.broadcast(char_model(sample))
     rows = sample.mapInArrow(_extractor(shared), "doc_id long, label int, at binary").toPandas().sort_values("doc_id")
     sample.unpersist()
-    model = Ftrl(1 << BITS, alpha=0.1, l1=1.5, l2=0.1)
+    model = Ftrl(1 << BITS, alpha=0.3, l1=5.0, l2=0.1)
     cases = [(np.frombuffer(a, "<i4").astype(np.int64), int(y)) for a, y in zip(rows["at"], rows["label"], strict=True)]
     order = np.random.Generator(np.random.PCG64(23))
     for _ in range(epochs):
