@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import filtering
+from . import filtering, joining
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "filtering"]
+__all__ = ["ORACLE_SQL", "QUERIES", "filtering", "joining"]
