@@ -180,7 +180,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     copies = index.filter("group_size > 1")
     suspects = attach_by_key(signed, copies, ["digest"], total, "group_size").filter("group_size > 1")
     suspects = stage.write(suspects.select("doc_id", "digest", "keep_id", "group_size"), "suspects")
-    wanted = suspects.select("doc_id", "digest").distinct()
+    wanted = suspects.select("doc_id", "digest").distinct().hint("merge")  # the same plan at every size
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     texts = slim.join(wanted, "doc_id").filter(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("digest"))
     differ = _verify(stage.write(texts.join(suspects.select("doc_id", "keep_id").distinct(), "doc_id"), "copies"))
