@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def strongest(edges: DataFrame, k: int, least: float, by: list[str] | None = None) -> DataFrame:
     """The k strongest edges of each source with at least the least weight, and their rank; ties to the smaller dst."""
     w = Window.partitionBy(*(by or []), "src").orderBy(F.desc("w"), F.col("dst"))
-    return edges.filter(F.col("w") >= least).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return edges.filter(F.col("w") >= least).withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 def shared_point_edges(observations: DataFrame, view: str, point: str, denominator: str = "target") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregating, filtering, joining
+from . import aggregating, filtering, joining, sampling, sequences
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "aggregating", "filtering", "joining"]
+__all__ = ["ORACLE_SQL", "QUERIES", "aggregating", "filtering", "joining", "sampling", "sequences"]

@@ -11,6 +11,10 @@ import duckdb
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+#: Types of scalar columns that must be the same in both engines.
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "FLOAT": "float", "HUGEINT": "none", "SMALLINT": "smallint", "TINYINT": "tinyint"} | {f"DECIMAL({p},{s})": "none" for p in range(1, 39) for s in range(p + 1)}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -54,6 +58,10 @@ def differences(spark, con, name, query, sql, sf_dir):
     want = rows(names, cur.fetchall())
     if sorted(df.columns) != sorted(names):
         return f"{name}: columns {sorted(df.columns)} and {sorted(names)}"
+    kinds = {d[0]: str(d[1]) for d in cur.description}
+    odd = [(c, t, kinds[c]) for c, t in df.dtypes if TYPES.get(kinds[c], t) != t]
+    if odd:
+        return f"{name}: types {odd}"
     if got != want:
         odd = [(a, b) for a, b in zip(got, want, strict=False) if a != b][:2]
         return f"{name}: {len(got)} and {len(want)} rows; {odd}"
