@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregating, filtering, joining, sampling, sequences
+from . import aggregating, cameras, filtering, joining, plans, rasters, sampling, sequences
 from .registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "aggregating", "filtering", "joining", "sampling", "sequences"]
+__all__ = ["ORACLE_SQL", "QUERIES", "aggregating", "cameras", "filtering", "joining", "plans", "rasters", "sampling", "sequences"]
