@@ -34,6 +34,7 @@ WIDTH = 4
 PERCENT = 85
 BLOCK = 256
 REFINE_ABOVE = 128
+REFINE_BELOW = 0.05
 LEVELS = 4
 
 
@@ -304,18 +305,21 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     stage = Stage(spark, "jaccard")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage.write(base.mapInArrow(_signer(width), "doc_id long, node long, n_shingles long"), "signed")
-    classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n")), "classes")
     keys = base.select("text").mapInArrow(_keyer(width, percent), "key long, node long")
     multi = stage.write(_multi(keys), "multi")
     stage.release()
 
     wanted = stage.write(multi.select("node").distinct(), "wanted")
     rep = classes.join(wanted, "node").select(F.col("first").alias("doc_id"), "node", "copies")
-    texts = stage.write(base.join(rep, "doc_id"), "texts")
+    texts = stage.write(base.join(rep.hint("merge"), "doc_id"), "texts")  # the same plan at every size
     stage.release()
 
-    held = multi.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    large = held.filter(F.col("m") > REFINE_ABOVE).select("key")
+    # Near copies share many parts.  A large bucket whose members share few parts with anyone
+    # holds texts that have a passage in common, and is split by another dealing of their sets.
+    common = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop")).join(classes, "node").select("node", (F.col("pop") / F.col("n")).alias("share"))
+    held = multi.join(common, "node").groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.avg("share").alias("share"))
+    large = held.filter((F.col("m") > REFINE_ABOVE) & (F.col("share") < REFINE_BELOW)).select("key")
     if large.limit(1).count():
         rows = multi.join(large, "key").join(texts.select("node", "text"), "node").select("key", "node", "text")
         finer = _multi(rows.mapInArrow(_refiner(width, percent), "key long, node long"))
