@@ -21,21 +21,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import Stage, rank_in_group
-from .words import word_chunks
+from .words import WORD, Words, word_chunks
 
 CAPACITY = 4096
 END = 1
-CACHED_WORDS = 300_000
+CACHED_UNITS = 1_000_000
+
+_PLAIN = np.zeros(256, np.uint8)
+_PLAIN[33:127] = 3
+_PLAIN[[*range(1, 9), *range(14, 32), 127, 0]] = 3
+_PLAIN[48:58] = 2
+_PLAIN[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = 1
+_ODD = np.zeros(256, bool)
+_ODD[[0x27, *range(0xC0, 0xC3), *range(0xC4, 256)]] = True
+
+
+def units(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Classes of bytes whose runs the tokenizer encodes one by one.
+
+    In words of ASCII and Latin-1 letters these are runs of letters, digits or
+    signs, which its splitter never joins.  Words with an apostrophe (it splits
+    off contractions), other characters (which may be marks or signs) or the
+    start of a special token are units as a whole.
+    """
+    kind = _PLAIN[data]
+    odd = _ODD[data]
+    if len(data) > 1:
+        odd[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+        odd[1:] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+    if odd.any():
+        words = Words(0, 0, data, bounds, False, WORD)
+        seen = np.concatenate([[0], np.cumsum(odd)])
+        whole = np.flatnonzero(seen[words.end] > seen[words.start])
+        step = np.zeros(len(data) + 1, np.int8)
+        step[words.start[whole]] += 1
+        step[words.end[whole]] -= 1
+        kind[np.cumsum(step[:-1]) > 0] = 4
+    return kind
 
 
 class TokenCache:
-    """Token ids of words, each encoded once by the tokenizer.
+    """Token ids of units, each encoded once by the tokenizer.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words.  The cache is emptied at ``most`` words.
+    The tokenizer ignores ASCII case, drops white space and never joins across
+    units, so a text's ids are those of its units.  The cache is emptied at
+    ``most`` units.
     """
 
-    def __init__(self, path: str, most: int = CACHED_WORDS):
+    def __init__(self, path: str, most: int = CACHED_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,32 +80,41 @@ class TokenCache:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for lo in range(0, len(texts), 5000):
-            for key, e in zip(keys[lo : lo + 5000], self.tokenizer.encode_batch(texts[lo : lo + 5000], add_special_tokens=False), strict=True):
-                ids, i = e.ids, len(self.known)
-                if i == len(self.at):
-                    self.at, self.size = np.concatenate([self.at, self.at]), np.concatenate([self.size, self.size])
-                while self.used + len(ids) > len(self.pool):
-                    self.pool = np.concatenate([self.pool, self.pool])
-                self.pool[self.used : self.used + len(ids)] = ids
-                self.at[i], self.size[i] = self.used, len(ids)
-                self.used += len(ids)
-                self.known[key] = i
+    def _learn(self, keys: list[int], texts: list[str], step: int = 2000) -> None:
+        """Units are encoded many at once, with blanks between them, and told apart by their tokens' offsets."""
+        for lo in range(0, len(texts), step):
+            part = texts[lo : lo + step]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(e.ids, np.uint32)
+            start = np.array([a for a, _ in e.offsets], np.int64)
+            first = np.cumsum([0, *(len(t) + 1 for t in part)])
+            cut = np.searchsorted(start, first)
+            n = len(self.known)
+            while n + len(part) > len(self.at):
+                self.at, self.size = np.concatenate([self.at, self.at]), np.concatenate([self.size, self.size])
+            while self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, self.pool])
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.at[n : n + len(part)] = self.used + cut[:-1]
+            self.size[n : n + len(part)] = np.diff(cut)
+            self.used += len(ids)
+            self.known.update(zip(keys[lo : lo + step], range(n, n + len(part)), strict=True))
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first text, ids, offsets by text) of a column in chunks; each text ends with END."""
-        for words in word_chunks(column):
+        for words in word_chunks(column, lower=True, classes=units):
             keys, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
             if len(self.known) + len(keys) > self.most:
                 self._empty()
             named = keys.tolist()
-            new = [i for i, k in enumerate(named) if k not in self.known]
-            if new:
-                data = words.data.tobytes()
+            index = np.fromiter((self.known.get(k, -1) for k in named), np.int64, len(named))
+            new = np.flatnonzero(index < 0)
+            if len(new):
+                data, n = words.data.tobytes(), len(self.known)
                 spans = zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)
-                self._learn([named[i] for i in new], [data[a:b].decode("utf-8", "replace") for a, b in spans])
-            index = np.fromiter((self.known[k] for k in named), np.int64, len(named))[inverse]
+                self._learn([named[i] for i in new.tolist()], [data[a:b].decode("utf-8", "replace") for a, b in spans])
+                index[new] = np.arange(n, n + len(new))
+            index = index[inverse]
             size = self.size[index]
             ends = np.concatenate([[0], np.cumsum(size)])
             ids = self.pool[np.repeat(self.at[index] - ends[:-1], size) + np.arange(ends[-1])]
@@ -83,9 +125,19 @@ class TokenCache:
             yield words.lo, out, bounds + np.arange(len(bounds))
 
 
+_caches: dict[str, TokenCache] = {}
+
+
+def token_cache(path: str) -> TokenCache:
+    """The process's cache of a tokenizer, kept from task to task."""
+    if path not in _caches:
+        _caches[path] = TokenCache(path)
+    return _caches[path]
+
+
 def _cutter(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = TokenCache(path)
+        cache = token_cache(path)
         for batch in batches:
             key = batch.column(0).to_pylist()
             rows: list[tuple] = []

@@ -63,9 +63,9 @@ class Words:
     A word is a run of bytes of one class that isn't 0.
     """
 
-    def __init__(self, lo: int, hi: int, data: np.ndarray, bounds: np.ndarray, lower: bool, classes: np.ndarray):
+    def __init__(self, lo: int, hi: int, data: np.ndarray, bounds: np.ndarray, lower: bool, classes):
         self.lo, self.hi, self.data, self.bounds = lo, hi, data, bounds
-        kind = classes[data]
+        kind = classes(data, bounds) if callable(classes) else classes[data]
         solid = kind > 0
         first, last = solid.copy(), solid.copy()
         if len(data):
@@ -88,8 +88,11 @@ class Words:
         return np.diff(self.offsets)
 
 
-def word_chunks(column: pa.Array, lower: bool = False, classes: np.ndarray = WORD) -> Iterator[Words]:
-    """Words of all texts of the column, in chunks of about CHUNK_BYTES."""
+def word_chunks(column: pa.Array, lower: bool = False, classes=WORD) -> Iterator[Words]:
+    """Words of all texts of the column, in chunks of about CHUNK_BYTES.
+
+    classes: a table by byte, or a function of a chunk's bytes and text borders.
+    """
     data, offsets = utf8(column)
     n, lo = len(offsets) - 1, 0
     while lo < n:
