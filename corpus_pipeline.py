@@ -50,7 +50,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """All rows of docs that have one of the ids; a null id has none."""
-    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(ids.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
 
 
 STAGES = [
