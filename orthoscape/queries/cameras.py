@@ -170,10 +170,10 @@ def centred_crop(spark, sf):
     return table(spark, sf, "part").select("p_partkey", *[b.alias(n) for b, n in zip(box, "ltrb", strict=True)])
 
 
-@query("I19_look_at", f"SELECT vec_id, round(y / sqrt(x*x + y*y), 6) AS rx, round(-x / sqrt(x*x + y*y), 6) AS ry, round(z / sqrt(x*x + y*y + z*z), 6) AS fz FROM {_POINTS} WHERE sqrt(x*x + y*y) > 1e-3")
+@query("I19_look_at", f"SELECT vec_id, round(y / sqrt(x*x + y*y), 6) + 0.0 AS rx, round(-x / sqrt(x*x + y*y), 6) + 0.0 AS ry, round(z / sqrt(x*x + y*y + z*z), 6) + 0.0 AS fz FROM {_POINTS} WHERE sqrt(x*x + y*y) > 1e-3")
 def look_at(spark, sf):
     p = centres(spark, sf).filter(F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y")) > 1e-3).withColumn("r", cam.look_at((F.col("x"), F.col("y"), F.col("z"))))
-    return _rounded(p, ["vec_id"], {"rx": F.get("r", F.lit(0)), "ry": F.get("r", F.lit(1)), "fz": F.get("r", F.lit(8))})
+    return p.select("vec_id", *[(F.round(F.get("r", F.lit(i)), 6) + 0.0).alias(n) for n, i in (("rx", 0), ("ry", 1), ("fz", 8))])
 
 
 @query("I19_yaw_pitch", "SELECT s_suppkey, round(cos(radians(s_nationkey)) * cos(radians(s_suppkey)), 6) AS x, round(cos(radians(s_nationkey)) * sin(radians(s_suppkey)), 6) AS y, round(sin(radians(s_nationkey)), 6) AS z FROM supplier")
