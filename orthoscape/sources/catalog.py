@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.names import extension, stem
 
 #: Readers and writers by format name: (spark, path) -> DataFrame and (df, path) -> None.
+#: json is one document a file and is read only; tables are written as jsonl.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json": lambda s, p: s.read.option("multiLine", "true").json(p),
     "jsonl": lambda s, p: s.read.json(p),
@@ -20,7 +21,6 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "binary": lambda s, p: s.read.format("binaryFile").load(p),
 }
 WRITERS: dict[str, Callable[[DataFrame, str], None]] = {
-    "json": lambda d, p: d.write.json(p),
     "jsonl": lambda d, p: d.write.json(p),
     "parquet": lambda d, p: d.write.parquet(p),
     "orc": lambda d, p: d.write.orc(p),
@@ -109,3 +109,26 @@ def links(pages: DataFrame, html: str, pattern: str) -> DataFrame:
     """(page columns, link): targets of anchors that match a pattern."""
     found = F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]+)"'), F.lit(1))
     return pages.withColumn("link", F.explode(found)).filter(F.col("link").rlike(pattern)).drop(html)
+
+
+def store_metadata(df: DataFrame, path: str) -> None:
+    """Write scene documents stamped with the time, in place of the old ones, of which one backup is kept.
+
+    The new files are written beside the old first, so a failed write leaves
+    them as they were.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fresh, old, backup = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{s}") for s in ("._new", "", "._backup"))
+    fs = old.getFileSystem(conf)
+    df.drop("frame_names").withColumn("last_modified", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).write.mode("overwrite").json(str(fresh.toString()))
+    if fs.exists(old):
+        fs.delete(backup, True)
+        fs.rename(old, backup)
+    fs.rename(fresh, old)
+
+
+def load_metadata(spark: SparkSession, path: str, schema, name: str = "frame_name") -> DataFrame:
+    """Scene documents with the map from frame name to position, which isn't stored."""
+    docs = spark.read.schema(schema).json(path)
+    return docs.withColumn("frame_names", F.map_from_entries(F.transform("frames", lambda f, i: F.struct(f[name], i))))
