@@ -167,3 +167,34 @@ def test_covisibility_counts_confirmed_pixels(spark):
     got = {(r.src, r.dst): r.w for r in depth_covisibility(pix, cams, pairs).collect()}
     assert got == {(0, 1): 0.5, (1, 0): 0.5}
     assert strongest(spark.createDataFrame([(0, 1, 0.5), (0, 2, 0.5), (0, 3, 0.1)], "src int, dst int, w double"), 1, 0.2).first().dst == 1
+
+
+def test_public_split_rules(spark):
+    from orthoscape.plans import splits
+
+    scenes = [("blendedmvs", splits.BLENDEDMVS_NOISE[0]), ("blendedmvs", splits.BLENDEDMVS_VAL[0]), ("blendedmvs", "x"), ("ortholoc", "test_inPlace_1"), ("ortholoc", "other"), ("usegeo", "s"), ("whu_whuomvs", "whuomvs_1"), ("whu_whuomvs", "a"), ("uavscenes", splits.UAVSCENES_TRAIN[0]), ("uavscenes", "b"), ("unknown", "c")]
+    got = sorted(tuple(r) for r in splits.splits_of(spark, spark.createDataFrame(scenes, "dataset string, scene string")).collect())
+    want = [("blendedmvs", splits.BLENDEDMVS_VAL[0], "val"), ("blendedmvs", "x", "train"), ("ortholoc", "test_inPlace_1", "test"), ("uavscenes", splits.UAVSCENES_TRAIN[0], "train"), ("usegeo", "s", "test"), ("usegeo", "s", "val"), ("whu_whuomvs", "a", "train")]
+    assert got == sorted(want)
+
+
+def test_loader_settings():
+    from orthoscape.plans.loader import config
+
+    base = {"dataset": "d", "metric_scale": True, "synthetic": False}
+    assert config(base, {"topk": 5, "low": None}).topk == 5
+    with pytest.raises(ValueError):
+        config(base, {"typo": 1})
+
+
+def test_scene_metadata_keeps_one_backup(spark, tmp_path):
+    from orthoscape.sources import catalog
+
+    path = str(tmp_path / "scene_meta.json")
+    for i in range(3):
+        docs = catalog.scene_metadata(spark.createDataFrame([(1, "b", i), (1, "a", i)], "scene long, frame_name string, fx int"), ["scene"], "frame_name", ["fx"])
+        catalog.store_metadata(docs, path)
+    schema = docs.drop("frame_names").schema
+    assert [f.fx for f in catalog.load_metadata(spark, path, schema).first().frames] == [2, 2]
+    assert [f.fx for f in catalog.load_metadata(spark, path + "._backup", schema).first().frames] == [1, 1]
+    assert catalog.load_metadata(spark, path, schema).first().frame_names == {"a": 0, "b": 1}
