@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.rng import shuffle_key
 
 
+MAX_DATASETS = 10_000
+
+
 def concatenated(parts: list[tuple[str, DataFrame]], local: str = "local") -> DataFrame:
     """All rows with (dataset, local, index): index is the dataset's offset plus the local index.
 
@@ -22,7 +25,12 @@ def concatenated(parts: list[tuple[str, DataFrame]], local: str = "local") -> Da
 
 
 def locate(queries: DataFrame, sizes: DataFrame, index: str = "index") -> DataFrame:
-    """Which dataset a global index falls into, and the local index there; indices past the end give no row."""
+    """Which dataset a global index falls into, and the local index there; indices past the end give no row.
+
+    sizes has one row a dataset, at most ``MAX_DATASETS``, and is broadcast.
+    """
+    if sizes.limit(MAX_DATASETS + 1).count() > MAX_DATASETS:
+        raise ValueError(f"more than {MAX_DATASETS} datasets")
     w = Window.orderBy("dataset")
     spans = sizes.withColumn("_end", F.sum("size").over(w)).withColumn("_start", F.col("_end") - F.col("size"))
     hit = queries.join(F.broadcast(spans), (F.col(index) >= F.col("_start")) & (F.col(index) < F.col("_end")))

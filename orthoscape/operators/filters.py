@@ -102,12 +102,17 @@ def with_default(frame: Column, scene: Column) -> Column:
     return F.coalesce(frame, scene)
 
 
+MAX_RULES = 100_000
+
+
 def assign_splits(scenes: DataFrame, rules: DataFrame) -> DataFrame:
     """(dataset, scene, split) by the first rule that matches; a rule may name several splits or none.
 
-    rules: dataset, rule_order, kind (all, prefix, name), pattern, splits.  The
-    rules are a literal table, so they are broadcast.
+    rules: dataset, rule_order, kind (all, prefix, name), pattern, splits; at
+    most ``MAX_RULES`` rows, which are broadcast.
     """
+    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
     s, r = scenes.alias("s"), F.broadcast(rules).alias("r")
     hit = (F.col("s.dataset") == F.col("r.dataset")) & (
         (F.col("r.kind") == "all") | ((F.col("r.kind") == "prefix") & F.col("s.scene").startswith(F.col("r.pattern"))) | ((F.col("r.kind") == "name") & (F.col("s.scene") == F.col("r.pattern")))
