@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .staging import Stage, attach_by_key
+from .staging import Stage, attach_by_key, rank_in_group
 from .words import mix, shingles, word_chunks
 
 WIDTH = 4
@@ -38,20 +38,16 @@ REFINE_BELOW = 0.05
 LEVELS = 4
 
 
-def _band_width(percent: int) -> float:
-    """Bands are twice as wide, in logarithm, as the largest ratio of linked sizes."""
-    return (100 / percent) ** 2
-
-
 def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each document, the (band, parts, slack, present) of its own band and of the band below.
 
     Band i has sizes from ceil(w**i) up.  Pairs are keyed by the smaller set's
     band; a set also joins the band below if a set of that band can be its
     smaller partner.  parts is d + 1 + slack for the largest sizes that the band
-    links, so that more than ``slack`` parts of linked sets are equal.
+    links, so that more than ``slack`` parts of linked sets are equal.  slack is
+    what a set of the band's smallest size leaves empty, with a margin.
     """
-    w = _band_width(percent)
+    w = (100 / percent) ** 1.5
     n = np.maximum(sizes, 1)
     edges = [1]
     while edges[-1] <= int(n.max(initial=1)):
@@ -61,8 +57,11 @@ def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndar
     largest = edges[1:] - 1  # of a band
     partner = largest * 100 // percent
     differ = (100 - percent) * (largest + partner) // (100 + percent)
-    empty = 0.0125 * differ
-    slack = (empty + 1.6 * np.sqrt(empty)).astype(np.int64)
+    slack = np.zeros(len(largest), np.int64)
+    for _ in range(8):
+        parts = differ + 1 + slack
+        empty = np.where(differ > 0, parts * np.exp(-edges[:-1] / parts), 0)
+        slack = (empty + 0.8 * np.sqrt(empty)).astype(np.int64)
     parts = differ + 1 + slack
     below = np.maximum(own - 1, 0)
     return [(own, parts[own], slack[own], sizes > 0), (below, parts[below], slack[below], (sizes > 0) & (own > 0) & (n <= partner[below]))]
@@ -334,8 +333,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
 
     hubs = star.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
     sized = star.groupBy("hub").agg(F.count(F.lit(1)).alias("m"))
-    member = Window.partitionBy("hub").orderBy("node")
-    blocks = star.withColumn("block", F.floor((F.row_number().over(member) - 1) / F.lit(BLOCK)).cast("int")).join(sized, "hub")
+    placed = rank_in_group(star, ["hub"], F.col("node"), "place")
+    blocks = placed.withColumn("block", F.floor(F.col("place") / F.lit(BLOCK)).cast("int")).join(sized, "hub")
     last = F.floor((F.col("m") - 1) / F.lit(BLOCK)).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), last), lambda o: F.struct(F.least("block", o).alias("lb"), F.greatest("block", o).alias("rb"), F.when(F.col("block") <= o, 0).otherwise(1).alias("side"))))
     spread = blocks.select("hub", "node", pair.alias("p")).select("hub", "node", "p.lb", "p.rb", "p.side")
@@ -351,5 +350,6 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     verdict = stage.write(named.join(smallest, "root").select("node", "component_id", "copies", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
     stage.drop("found", "star", "refined", "multi")
     total = signed.count()
-    out = attach_by_key(signed, verdict, ["node"], total, "copies")
+    # Texts without a shingle share no class; they stay out of the join, where they'd be one hot key.
+    out = attach_by_key(signed.filter("n_shingles > 0"), verdict, ["node"], total, "copies").unionByName(signed.filter("n_shingles = 0"), allowMissingColumns=True)
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
