@@ -107,6 +107,8 @@ def train(sample: DataFrame, epochs: int = 3) -> np.ndarray:
     for _ in range(epochs):
         for i in order.permutation(len(cases)):
             model.learn(*cases[i])
+    del rows, cases
+    pa.default_memory_pool().release_unused()
     return model.table()
 
 
