@@ -6,6 +6,7 @@ kept; all but the last return the columns of documents.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from orthoscape.llm.quality import quality_scores
 from orthoscape.llm.staging import Stage
 
 WIDTH, PERCENT = 5, 80
+#: Target weights of sources; None are those of mix_sources.
+WEIGHTS: dict[str, float] | None = None
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +42,24 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix; files and rows follow it."""
-    mixed = mix_sources(spark, docs)
+    mixed = mix_sources(spark, docs, WEIGHTS)
     return mixed.repartitionByRange(F.col("mix_position")).sortWithinPartitions("mix_position").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
-    return pack(spark, docs)
+    """Pieces of documents with their places in sequences, which follow the order of files and rows."""
+    return pack(spark, _with_place(spark, docs), order_col="_place")
+
+
+def _with_place(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with _place, a number that rises with (part of the file's name, row in it)."""
+    name = F.col("_metadata.file_name")
+    part, split = (F.coalesce(F.regexp_extract(name, r, 1).try_cast("long"), F.lit(0)) for r in (r"^part-(\d+)", r"-c(\d+)\."))
+    place = F.shiftleft(part, 43) + F.shiftleft(split, 33) + F.col("_metadata.row_index")
+    try:
+        return docs.withColumn("_place", place)
+    except AnalysisException:  # not read from files
+        return Stage(spark, "ordered").write(docs, "docs").withColumn("_place", place)
 
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:

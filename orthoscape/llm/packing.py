@@ -7,6 +7,10 @@ triple of lengths that fills it exactly, as often as the counts allow; where
 none does, the best fit goes in and the smaller gap is tried again.  The plan
 (patterns of lengths with repetitions) is then dealt to pieces by their rank
 among the pieces of their length.
+
+Where documents have an order, it decides what the plan leaves open: sequences
+are numbered by the place of their first, longest piece, and the pieces that
+fill their gaps are dealt to them in order.
 """
 
 from __future__ import annotations
@@ -135,20 +139,25 @@ def token_cache(path: str) -> TokenCache:
     return _caches[path]
 
 
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
 def _cutter(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = token_cache(path)
         for batch in batches:
             key = batch.column(0).to_pylist()
+            at = batch.column(2).to_pylist() if batch.num_columns > 2 else None
             rows: list[tuple] = []
             for lo, ids, offsets in cache.encode(batch.column(1)):
                 ids = ids.astype("<u4")
                 for d, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     for piece, s in enumerate(range(a, b, capacity)):
                         e = min(b, s + capacity)
-                        rows.append((key[lo + d], piece, s - a, e - s, zlib.crc32(ids[s:e].data)))
+                        rows.append((key[lo + d], piece, s - a, e - s, zlib.crc32(ids[s:e].data), *([at[lo + d]] if at else [])))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                types, names = [pa.int64(), pa.int32(), *[pa.int64()] * 4], ["doc_id", "piece", "start", "length", "ids_crc32", "_at"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)], names[: len(rows[0])])
 
     return cut
 
@@ -246,25 +255,78 @@ def _placer(table):
     return place
 
 
+def _header(table):
+    """Tells heads of sequences, evenly spread among the pieces of a length, from fills, and numbers the fills.
+
+    The k-th head of a length has the pattern whose run holds k; a fill has pattern -1.
+    """
+
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, heads, key, pattern = table.value
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
+            before = rank * heads[length] // total[length]
+            first = (rank + 1) * heads[length] // total[length] > before
+            i = np.searchsorted(key, length * (1 << 44) + before, "right") - 1
+            keep = [n for n in batch.schema.names if n != "_rank"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(np.where(first, pattern[np.maximum(i, 0)], -1)), pa.array(rank - before)], [*keep, "_pattern", "_rank"])
+
+    return head
+
+
+def _deal_in_order(spark: SparkSession, stage: Stage, pieces: DataFrame, counts: dict[int, int], patterns: list[tuple[tuple[int, ...], int]], capacity: int) -> DataFrame:
+    """Pieces (with ``_at``) in the plan's patterns, sequences and fills in the order of ``_at``."""
+    total, heads = np.ones(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
+    runs, fills = [], []
+    for length, n in counts.items():
+        total[length] = n
+    for i, (pattern, n) in enumerate(patterns):
+        runs.append((pattern[0] * (1 << 44) + int(heads[pattern[0]]), i))
+        heads[pattern[0]] += n
+        ends = np.cumsum(pattern).tolist()
+        fills += [(i, slot, length, offset) for slot, (length, offset) in enumerate(zip(pattern[1:], ends, strict=False))]
+    runs.sort()
+    key, number = np.array(runs, np.int64).reshape(-1, 2).T if runs else np.zeros((2, 1), np.int64)
+    table = spark.sparkContext.broadcast((total, heads, key, number))
+    order, near = F.struct("_at", "piece"), F.shiftright("_at", 14)
+    ranked = rank_in_group(pieces, ["length"], order, "_rank", bucket=near)
+    ranked = ranked.select(*pieces.columns, "_rank").mapInArrow(_header(table), f"{_PIECES}, _at long, _pattern long, _rank long")
+    ranked = stage.write(ranked, "ranked")
+    first = ranked.filter("_pattern >= 0").drop("_rank").withColumn("_all", F.lit(0))
+    first = stage.write(rank_in_group(first, ["_all"], order, "sequence_id", bucket=near).drop("_all"), "heads")
+    gaps = F.broadcast(spark.createDataFrame(fills, "_pattern long, _slot int, length long, offset long"))
+    slots = first.select("_pattern", "sequence_id").join(gaps, "_pattern")
+    slots = rank_in_group(slots, ["length"], F.struct("sequence_id", "_slot"), "_rank", bucket=F.shiftright("sequence_id", 14))
+    rest = ranked.filter("_pattern < 0").drop("_pattern").join(slots.select("length", "_rank", "sequence_id", "offset"), ["length", "_rank"])
+    own = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id"]
+    return first.select(*own, F.lit(0).cast("long").alias("offset")).unionByName(rest.select(*own, "offset"))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", order_col: str | None = None) -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is the end id alone, so it still has one piece.  The
     pieces of a sequence stand without gaps from 0.  Rows that repeat an id are
     packed as documents of their own; null ids are kept; an empty table gives
-    no rows; other columns are ignored.
+    no rows; other columns are ignored.  With order_col, a distinct number
+    (long, 0 or more) of each row, sequence ids follow that order by their
+    pieces at offset 0; without it, they follow the plan.
     """
     stage = Stage(spark, "packing")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = stage.write(base.mapInArrow(_cutter(tokenizer or default_tokenizer(), capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    at = [F.col(order_col).cast("long").alias("_at")] if order_col else []
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *at)
+    pieces = stage.write(base.mapInArrow(_cutter(tokenizer or default_tokenizer(), capacity), _PIECES + (", _at long" if at else "")), "pieces")
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    table = spark.sparkContext.broadcast(slots(plan(counts, capacity)))
+    patterns = plan(counts, capacity)
+    if order_col:
+        return _deal_in_order(spark, stage, pieces, counts, patterns, capacity)
+    table = spark.sparkContext.broadcast(slots(patterns))
     ranked = rank_in_group(pieces, ["length"], F.struct("doc_id", "piece", "ids_crc32"), "_rank")
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank")
-    return ranked.mapInArrow(_placer(table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(_placer(table), f"{_PIECES}, sequence_id long, offset long")

@@ -57,17 +57,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def rank_in_group(df: DataFrame, keys: list[str], order: Column, out: str, rows_per_bucket: int = 50_000) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: list[str], order: Column, out: str, rows_per_bucket: int = 50_000, bucket: Column | None = None) -> DataFrame:
     """Add ``out``: a dense 0-based rank of each row inside its group.
 
     The order inside a group is (bucket of ``order``'s hash, order).  A group,
     however hot, is spread over many buckets: buckets are counted, their
     offsets summed, and rows ranked inside (group, bucket) only, so no task
-    ever sorts a whole group.  ``order`` must be unique inside a group.
+    ever sorts a whole group.  ``order`` must be unique inside a group.  With
+    ``bucket``, which must not fall as ``order`` rises, the rank is that of
+    ``order`` itself.
     """
-    total = df.count()
-    buckets = max(1, -(-total // rows_per_bucket))
-    tagged = df.withColumn("_order", order).withColumn("_bucket", F.pmod(F.xxhash64("_order"), F.lit(buckets)))
+    if bucket is None:
+        buckets = max(1, -(-df.count() // rows_per_bucket))
+        bucket = F.pmod(F.xxhash64("_order"), F.lit(buckets))
+    tagged = df.withColumn("_order", order).withColumn("_bucket", bucket)
     sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from test_operators import brute_components, corpus
 
 
@@ -57,3 +58,41 @@ def test_mix_takes_effect(spark, tmp_path):
 
     order = [r.doc_id for r in sorted(mix_sources(spark, docs).collect(), key=lambda r: r.mix_position)]
     assert [r.doc_id for r in cp.mix(spark, docs, "").collect()] == order
+
+
+def test_weights_and_the_mix_reach_the_output(spark, tmp_path, monkeypatch):
+    docs, labels, _ = corpus(spark, 400)
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 8 == 0, "rare").otherwise("hot")).withColumn("text", F.repeat("text", 12))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    def sequences(weights, stages):
+        monkeypatch.setattr(cp, "WEIGHTS", weights)
+        monkeypatch.setattr(cp, "STAGES", stages)
+        out = cp.run(spark, str(tmp_path)).collect()
+        by = collections.defaultdict(list)
+        for r in out:
+            by[r.sequence_id].append((r.offset, r.length, r.doc_id, r.piece, r.start, r.ids_crc32))
+        assert sorted(by) == list(range(len(by))) and len(by) > 20
+        for own in by.values():
+            own.sort()
+            assert [a for a, *_ in own] == [sum(x[1] for x in own[:i]) for i in range(len(own))] and sum(x[1] for x in own) <= 4096
+        return sorted(x[2:] for own in by.values() for x in own), [by[i][0][2:4] for i in range(len(by))], out
+
+    last = cp.STAGES[3:]
+    rows, even, out = sequences({"hot": 1.0, "rare": 1.0}, last)
+    others, few, _ = sequences({"hot": 20.0, "rare": 1.0}, last)
+    unmixed, plain, _ = sequences({"hot": 1.0, "rare": 1.0}, last[1:])
+    assert rows == others == unmixed and {x[0] for x in rows} == set(range(400))
+    assert even != few and even != plain
+
+    from orthoscape.llm.mixing import mix_sources
+
+    place = {r.doc_id: r.mix_position for r in mix_sources(spark, docs, {"hot": 1.0, "rare": 1.0}).collect()}
+    heads = [(place[i], piece) for i, piece in even]
+    assert heads == sorted(heads)
+    fills = collections.defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        if r.offset:
+            fills[r.length].append((place[r.doc_id], r.piece))
+    assert any(len(x) > 1 for x in fills.values()) and all(x == sorted(x) for x in fills.values())
