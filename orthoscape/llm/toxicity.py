@@ -4,8 +4,9 @@ A disguised token is a lattice of letters: a sign or digit may stand for some
 letters, a repeated letter for fewer, a separator for none.  Viterbi decoding
 under a character trigram model picks the likeliest word.  A token whose
 lattice has one path is its own decoding, so only tokens with look-alikes,
-runs, separators or spaced letters are decoded, each once a task.  Scores are
-logistic regressions on the distinct words of the restored text, trained by
+runs, separators or spaced letters are decoded, each once a task.  The trigrams
+are counted over all words of all documents.  Scores are logistic regressions
+on the distinct words of the restored text, trained by
 follow-the-regularised-leader on a bounded sample of labelled rows.
 """
 
@@ -51,6 +52,16 @@ class CharModel:
             padded = f"^^{word}$"
             for i in range(len(padded) - 2):
                 tri[padded[i : i + 3]] = tri.get(padded[i : i + 3], 0) + n
+        self._fit(tri)
+
+    @classmethod
+    def of_trigrams(cls, tri: dict[str, int]) -> CharModel:
+        """A model of counted trigrams of words, each padded as ``^^word$``."""
+        model = cls({})
+        model._fit(tri)
+        return model
+
+    def _fit(self, tri: dict[str, float]) -> None:
         context: dict[str, float] = {}
         for gram, n in tri.items():
             context[gram[:2]] = context.get(gram[:2], 0) + n
@@ -172,19 +183,18 @@ def _extractor(shared):
     return extract
 
 
-def char_model(sample: DataFrame, most_words: int = 20_000) -> CharModel:
-    """A model of the most frequent words of the sample; ties by word."""
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![\p{L}\p{N}])[a-z]{2,}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most_words)
-    return CharModel({r[0]: r[1] for r in top.collect()})
+def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
+    """A model of all words of docs; what is collected is bounded by the alphabet."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"(?<![\p{L}\p{N}])[a-z]{2,}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
+    padded = words.groupBy("w").count().select(F.concat(F.lit("^^"), "w", F.lit("$")).alias("p"), "count")
+    grams = padded.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - 2), lambda i: F.substring("p", i, 3))).alias("g"), "count")
+    return CharModel.of_trigrams({r[0]: r[1] for r in grams.groupBy("g").agg(F.sum("count")).collect()})
 
 
-def train(spark: SparkSession, sample: DataFrame, epochs: int = 4):
-    """(broadcast character model, word weights) from a bounded labelled sample."""
-    sample = sample.cache()
-    shared = spark.sparkContext.broadcast(char_model(sample))
+def train(spark: SparkSession, docs: DataFrame, sample: DataFrame, text_col: str = "text", epochs: int = 4):
+    """(broadcast character model of all docs, word weights from a bounded labelled sample)."""
+    shared = spark.sparkContext.broadcast(char_model(docs, text_col))
     rows = sample.mapInArrow(_extractor(shared), "doc_id long, label int, at binary").toPandas().sort_values("doc_id")
-    sample.unpersist()
     model = Ftrl(1 << BITS, alpha=0.3, l1=5.0, l2=0.1)
     cases = [(np.frombuffer(a, "<i4").astype(np.int64), int(y)) for a, y in zip(rows["at"], rows["label"], strict=True)]
     order = np.random.Generator(np.random.PCG64(23))
@@ -211,12 +221,12 @@ def toxicity_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_
     """doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.3), one row a document, in whole texts.
 
     Learns labels.toxic from rows that aren't held out (crc32 of the id mod 4
-    is 2), about ``most`` of them at most.  A null text counts as empty; an
+    is 2), about ``most`` of them at most, and letters from all docs.  A null text counts as empty; an
     empty text scores by the model's constant.  Without usable labels every
     score is 0.5.  Repeated rows score alike; other columns are ignored; an
     empty table gives no rows.
     """
-    shared, table = train(spark, labelled_sample(docs, labels, "toxic", 4, 2, most, id_col, text_col))
+    shared, table = train(spark, docs, labelled_sample(docs, labels, "toxic", 4, 2, most, id_col, text_col), text_col)
     weights = spark.sparkContext.broadcast(table)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, 4, 2).alias("held_out"), F.col(text_col).alias("text"))
     scored = base.mapInArrow(_scorer(shared, weights), "doc_id long, held_out boolean, score double")

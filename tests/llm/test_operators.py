@@ -372,3 +372,16 @@ def test_disguised_words_are_restored():
     for token in ("1d10t", "i.d.i.o.t", "i d i o t", "idiiiiot", "ID1OT"):
         assert toxicity.decode(token, model) == "idiot"
     assert toxicity.decode("$tup!d", model) == "stupid" and toxicity.decode("x" * 500, model)
+
+
+def test_character_model_counts_all_words(spark, monkeypatch):
+    names = ["".join(x) for x in itertools.islice(itertools.product("abcdefghij", repeat=5), 22_000)]
+    texts = [None, "", "Naïve x1 abc2", *(" ".join(names[i : i + 100]) for i in range(0, len(names), 100)), "Zyzzyva, zyzzyva"]
+    want = toxicity.CharModel(collections.Counter([*names, "zyzzyva", "zyzzyva"]))
+    docs = table(spark, texts)
+    seen = []
+    f = toxicity.char_model
+    monkeypatch.setattr(toxicity, "char_model", lambda *a: seen.append(f(*a)) or seen[-1])
+    labels = spark.createDataFrame([(3, 1, 0), (4, 1, 1)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity_scores(spark, docs, labels).count() == len(texts)
+    assert seen[0].cost == pytest.approx(want.cost) and seen[0].rare == pytest.approx(want.rare)
