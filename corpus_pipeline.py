@@ -82,7 +82,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, f in STAGES:
         docs = stage.write(f(spark, docs, sf_dir), name.replace(" ", "-"))
-        stage.release()
     return docs
 
 

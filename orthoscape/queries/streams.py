@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir
 from ..streaming import events as st
 from .registry import query, table
 
 
 def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "orthoscape-checkpoints")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
 
 
 def _run(spark, sf, make, mode="append"):

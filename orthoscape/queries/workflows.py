@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import Window
@@ -12,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.rng import uniform
 from ..plans import depth_filter, loader
 from ..sources import catalog
+from ..sources.shared import shared_dir
 from .joining import kept_edges
 from .rasters import _P, grid
 from .registry import query, table
 
 
 def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "orthoscape-checkpoints")
-    return f"{base.rstrip('/')}/stored-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/stored-{uuid.uuid4().hex[:12]}"
 
 
 @query("A01_format_dispatch", "SELECT 'orc' AS format, count(*) AS n, sum(n_nationkey)::BIGINT AS total FROM nation UNION ALL SELECT 'json', count(*), sum(n_nationkey)::BIGINT FROM nation UNION ALL SELECT 'parquet', count(*), sum(n_nationkey)::BIGINT FROM nation")
