@@ -175,7 +175,6 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     runs = signed.select("digest", lowest.alias("keep_id")).mapInArrow(_flusher(memtable), "digest binary, keep_id long, group_size long")
     merged = runs.repartition(shards, "digest").mapInArrow(_compactor(memtable), "digest binary, keep_id long, group_size long")
     index = stage.write(merged, "index")
-    stage.release()
 
     copies = index.filter("group_size > 1")
     suspects = attach_by_key(signed, copies, ["digest"], total, "group_size").filter("group_size > 1")
@@ -186,7 +185,6 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     differ = _verify(stage.write(texts.join(suspects.select("doc_id", "keep_id").distinct(), "doc_id"), "copies"))
     if differ.limit(1).count():
         raise RuntimeError("texts of one SHA-256 digest differ")
-    stage.release()
     stage.drop("copies", "suspects")
 
     out = attach_by_key(signed, index, ["digest"], total, "group_size")

@@ -307,12 +307,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n")), "classes")
     keys = base.select("text").mapInArrow(_keyer(width, percent), "key long, node long")
     multi = stage.write(_multi(keys), "multi")
-    stage.release()
 
     wanted = stage.write(multi.select("node").distinct(), "wanted")
     rep = classes.join(wanted, "node").select(F.col("first").alias("doc_id"), "node", "copies")
     texts = stage.write(base.join(rep.hint("merge"), "doc_id"), "texts")  # the same plan at every size
-    stage.release()
 
     # Near copies share many parts.  A large bucket whose members share few parts with anyone
     # holds texts that have a passage in common, and is split by another dealing of their sets.
@@ -324,12 +322,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         finer = _multi(rows.mapInArrow(_refiner(width, percent), "key long, node long"))
         multi = stage.write(multi.join(large, "key", "left_anti").unionByName(finer), "refined")
         stage.drop("multi")
-        stage.release()
 
     popular = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop"))
     elect = multi.join(popular, "node").groupBy("key").agg(F.max_by("node", F.struct("pop", "node")).alias("hub"))
     star = stage.write(multi.join(elect, "key").select("node", "hub").distinct(), "star")
-    stage.release()
 
     hubs = star.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
     sized = star.groupBy("hub").agg(F.count(F.lit(1)).alias("m"))
@@ -340,7 +336,6 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     spread = blocks.select("hub", "node", pair.alias("p")).select("hub", "node", "p.lb", "p.rb", "p.side")
     work = spread.join(hubs, "node").join(texts.select("node", "copies", "text"), "node").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
     found = stage.write(work.select("hub", "lb", "rb", "node", "side", "copies", "hubs", "text").mapInArrow(_comparer(width, percent), "a long, b long, n long"), "found")
-    stage.release()
     stage.drop("texts", "wanted")
 
     roots = connected_components(found.filter(F.col("b").isNotNull()).select("a", "b"), stage, "cc")

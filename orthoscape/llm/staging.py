@@ -6,51 +6,52 @@ executor sees, so a lost executor costs a recomputation of its own tasks only.
 
 from __future__ import annotations
 
-import gc
-import os
-import tempfile
-import time
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.path.join(tempfile.gettempdir(), "orthoscape-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+#: Spark's own removal of a query's shuffle files when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Stage:
-    """A folder of staged tables belonging to one run of one operator."""
+    """A folder of staged tables belonging to one run of one operator, deleted when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        atexit.register(self._remove)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df as Parquet and read it back with its schema given."""
+        """Write df as Parquet, with its shuffle files gone afterwards, and read it back with its schema given."""
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Delete staged tables that nothing reads any more."""
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def release(self) -> None:
-        """Let Spark's cleaner remove the shuffle files of finished queries."""
-        for _ in range(2):
-            gc.collect()
-            self.spark._jvm.System.gc()
-            time.sleep(0.2)
+            self._delete(f"{self.root}/{name}")
+
+    def _delete(self, path: str) -> None:
+        at = self.jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.conf).delete(at, True)
+
+    def _remove(self) -> None:
+        try:
+            self._delete(self.root)
+        except Exception:  # the session's JVM has ended already  # noqa: BLE001, S110
+            pass
 
 
 def partitions(spark: SparkSession) -> int:

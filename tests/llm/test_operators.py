@@ -5,9 +5,11 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -136,30 +138,98 @@ def test_words_match_the_definition():
             assert seen.setdefault(h, chunk.data[a:b].tobytes()) == chunk.data[a:b].tobytes()
 
 
-@pytest.mark.parametrize("weights", [None, {"a": 5.0, "b": 3.0, "c": 1.0}])
-def test_mixing(spark, weights):
-    sources = ["a"] * 500 + ["b"] * 290 + ["c"] * 60 + [None] * 40
-    docs = table(spark, ["t"] * len(sources), sources)
-    got = sorted(mixing.mix_sources(spark, docs, weights, block=4, cycle=100).collect(), key=lambda r: r.mix_position)
-    assert [r.mix_position for r in got] == list(range(len(sources))) and sorted(r.doc_id for r in got) == list(range(len(sources)))
-    assert got[0].key == "k" and set(docs.columns) < set(got[0].asDict())
+def brute_schedule(weights, blocks):
+    """Earliest deadline first over exact shares, all sources scanned at each slot; the deviation is checked as it goes."""
+    left, out = list(blocks), []
+    while any(left):
+        live = [i for i, n in enumerate(left) if n]
+        share = {i: Fraction(weights[i]) / sum(Fraction(weights[k]) for k in live) for i in live}
+        done, slot = dict.fromkeys(live, 0), 0
+        while all(left[i] for i in live):
+            _, i = min((math.ceil((done[k] + 1) / share[k]), k) for k in live if math.floor(done[k] / share[k]) <= slot)
+            done[i], left[i], slot = done[i] + 1, left[i] - 1, slot + 1
+            out.append(i)
+            assert all(abs(done[k] - share[k] * slot) < 1 for k in live)
+    return out
 
 
-def test_schedule_stays_within_one_block():
+def test_schedule_equals_brute_force():
     rng = random.Random(1)
-    for _ in range(30):
-        names = [f"s{i}" for i in range(rng.randrange(1, 12))]
-        parts = mixing.quantise({s: rng.random() ** 3 + 1e-3 for s in names}, 200)
-        assert sum(parts.values()) == 200 and min(parts.values()) >= 1
-        plan = mixing.schedule(parts)
-        assert sorted(x for p in plan.values() for x in p) == list(range(200))
-        for s, p in parts.items():
-            done = 0
-            for t in range(200):
-                done += t in set(plan[s])
-                assert abs(done - p * (t + 1) / 200) < 1
+    for _ in range(15):
+        n = rng.randrange(1, 7)
+        weights = mixing.exact_weights({i: rng.choice([rng.random() ** 3 + 1e-3, rng.randrange(1, 9), Fraction(rng.randrange(1, 9), 7)]) for i in range(n)})
+        blocks = [rng.randrange(0, 30) for _ in range(n)]
+        assert mixing.schedule([weights[i] for i in range(n)], blocks).tolist() == brute_schedule([weights[i] for i in range(n)], blocks)
     with pytest.raises(ValueError):
-        mixing.quantise({"a": -1.0}, 10)
+        mixing.exact_weights({"a": -1.0, "b": 1})
+
+
+@pytest.mark.parametrize("sources", [301, 2])
+def test_deviation_does_not_grow(sources):
+    """A share of 0.9 beside 300 small sources, and one of an irrational ratio, stay within one block of the target for good."""
+    target = [0.9] + [0.1 / 300] * 300 if sources == 301 else [3**0.5, 1.0]
+    whole = list(mixing.exact_weights(dict(enumerate(target))).values())
+    assert [Fraction(w, whole[0]) for w in whole] == [Fraction(t) / Fraction(target[0]) for t in target]
+    n = 60_000
+    who = mixing.schedule(whole, [n * w // sum(whole) + 2 for w in whole])[:n]
+    for i in (0, 1, sources - 1):
+        ideal = np.arange(1, n + 1) * (whole[i] / sum(whole))
+        assert np.abs(np.cumsum(who == i) - ideal).max() < 1 + 1e-6
+
+
+ODD = ["slot", "Block_No", "slot_pos", "mix_position", "_id", "_source", "_row", "_rank", "_bucket", "_order", "_place", "_by", "a.b", "x`y", "maps"]
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 5, "b": 3.0, "c": Fraction(1, 3)}, {"a": 1, None: 2}])
+def test_mixing(spark, weights):
+    sources = ["a"] * 500 + ["b"] * 290 + ["c"] * 60 + [None] * 40 + [""] * 10 + ["(null)", "null"]
+    docs = table(spark, ["t"] * len(sources), sources)
+    docs = docs.select("*", *[(F.array(F.create_map(F.lit("k"), F.col("doc_id"))) if c == "maps" else F.col("doc_id") * 100 + i).alias(c) for i, c in enumerate(ODD)])
+    docs = docs.unionByName(docs.filter("doc_id < 5")).unionByName(docs.filter("doc_id = 7").withColumn("doc_id", F.lit(None).cast("long")))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = mixing.mix_sources(spark, docs, weights, block=4)
+    names = mixing.output_names(docs.columns)
+    assert got.columns == [*names.values(), *mixing.OUTPUT] and len({c.lower() for c in got.columns}) == len(got.columns)
+    rows = sorted(got.collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in rows] == list(range(len(sources) + 6))
+    # Every row is there once, as it was.
+    assert sorted(repr(tuple(r)[: len(names)]) for r in rows) == sorted(repr(tuple(r)) for r in docs.collect())
+    # The order of sources is that of the exact schedule, block by block.
+    count = collections.Counter(r.source for r in rows)
+    order = sorted(count, key=lambda s: (weights is not None and s not in weights, -count[s], "null" if s is None else "=" + s))
+    least = min((weights or {"": 0}).values())
+    target = [int(1000 * count[s] ** mixing.TEMPERATURE) if weights is None else weights.get(s, least) for s in order]
+    want = brute_schedule(target, [-(-count[s] // 4) for s in order])
+    slots = [list(g) for _, g in itertools.groupby(rows, key=lambda r: r[len(names) + 1])]
+    assert [g[0].source for g in slots] == [order[i] for i in want] and all(len({r.source for r in g}) == 1 for g in slots)
+    assert [g[0][len(names) + 1] for g in slots] == list(range(len(want)))
+    # Places don't depend on the partitions of the input, and differ from the order of ids.
+    again = mixing.mix_sources(spark, docs.repartition(7, "key"), weights, block=4).select("_id", "mix_position").collect()
+    assert sorted(map(tuple, again)) == sorted((r["_id"], r.mix_position) for r in rows)
+    own = [r.doc_id for r in rows if r.source == "a"]
+    assert own != sorted(own, key=lambda i: (i is None, i))
+
+
+def test_mixing_many_sources(spark):
+    """Beyond the plan's bounds sources share bundles and blocks grow; rows stay whole."""
+    sources = ["hot"] * 300 + [f"s{i}" for i in range(200) for _ in range(i % 3 + 1)]
+    docs = table(spark, ["t"] * len(sources), sources)
+    for weights in (None, {"hot": 1, "s3": 2.5}):
+        got = mixing.mix_sources(spark, docs, weights, block=2, most_sources=16, plan_slots=100).collect()
+        assert sorted(r.doc_id for r in got) == list(range(len(sources))) and sorted(r.mix_position for r in got) == list(range(len(sources)))
+        assert max(r.slot_pos for r in got) == -(-len(sources) // 100) - 1 and max(r.slot for r in got) < 100 + 16
+
+
+def test_mix_query_equals_brute_force(spark):
+    from orthoscape.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = sorted(QUERIES["op2_mix_sources"](spark, sf).collect(), key=lambda r: r.mix_position)
+    count = collections.Counter(r.source for r in spark.read.parquet(f"{sf}/documents.parquet").select("source").collect())
+    order = sorted(count, key=lambda s: (-count[s], "=" + s))
+    want = brute_schedule([int(1000 * count[s] ** mixing.TEMPERATURE) for s in order], [-(-count[s] // mixing.BLOCK) for s in order])
+    assert [r.mix_position for r in rows] == list(range(sum(count.values()))) and len({r.doc_id for r in rows}) == len(rows)
+    assert [order[i] for i in want] == [next(g).source for _, g in itertools.groupby(rows, key=lambda r: r.slot)]
 
 
 def brute_rules(t):
