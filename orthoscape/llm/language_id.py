@@ -26,7 +26,7 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 MAX_LABELLED = 3000
-WINDOWS_A_TEXT = 3
+AT_ONCE = 256
 
 CLASS = np.zeros(256, np.uint8)
 CLASS[[0x20, 9, 10, 11, 12, 13]] = 1
@@ -39,18 +39,26 @@ CLASS[192:256] = np.arange(94, 158)
 CLASSES = 158
 
 
-def windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of the texts as rows of classes (0 past the end), and the text of each."""
-    size = np.diff(bounds)
-    count = -(-size // WINDOW)
-    doc = np.repeat(np.arange(len(size)), count)
-    first = np.concatenate([[0], np.cumsum(count)])[:-1]
-    offset = (np.arange(len(doc)) - first[doc]) * WINDOW
-    at = (bounds[:-1][doc] + offset)[:, None] + np.arange(WINDOW)
-    inside = at < bounds[1:][doc][:, None]
-    out = CLASS[data[np.minimum(at, max(0, len(data) - 1))]] if len(data) else np.zeros(at.shape, np.uint8)
-    out[~inside] = 0
-    return out, doc
+def windows(data: np.ndarray, bounds: np.ndarray, at_once: int = AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All windows of the texts as rows of classes (0 past the end), with the text of each, at_once at a time.
+
+    What is held is one block of windows, however long the texts are.
+    """
+    block, doc, n = np.zeros((at_once, WINDOW), np.uint8), np.zeros(at_once, np.int64), 0
+    for d, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        while a < b:
+            end = min(b, a + (at_once - n) * WINDOW)
+            k = -(-(end - a) // WINDOW)
+            flat = block[n : n + k].reshape(-1)
+            flat[: end - a] = CLASS[data[a:end]]
+            flat[end - a :] = 0
+            doc[n : n + k] = d
+            n, a = n + k, end
+            if n == at_once:
+                yield block, doc
+                n = 0
+    if n:
+        yield block[:n], doc[:n]
 
 
 class ByteCnn:
@@ -81,7 +89,7 @@ class ByteCnn:
         z = z - z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 0.01) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 0.01) -> None:
         """Softmax cross-entropy by Adam; only the pooled places get gradients."""
         params = [*self.conv, self.bias, self.out, self.base]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -112,17 +120,14 @@ class ByteCnn:
 
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to WINDOWS_A_TEXT windows of each training text, spread over the whole text."""
+    """All windows of each training text, in its order, as one row."""
     for batch in batches:
         data, offsets = utf8(batch.column(1))
-        key, lang, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
-        for d in range(batch.num_rows):
-            x, _ = windows(data, offsets[d : d + 2])
-            for i in np.unique(np.linspace(0, len(x) - 1, WINDOWS_A_TEXT).round().astype(int)) if len(x) else ():
-                rows.append((key[d], int(i), x[i].tobytes(), lang[d]))
-        if rows:
-            a, b, c, e = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.binary()), pa.array(e, pa.string())], ["doc_id", "i", "x", "lang"])
+        rows: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
+        for x, doc in windows(data, offsets):
+            for d in np.unique(doc).tolist():
+                rows[d].append(x[doc == d].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b"".join(r) for r in rows], pa.binary()), batch.column(2)], ["doc_id", "x", "lang"])
 
 
 def train(docs: DataFrame, most: int, id_col: str, text_col: str, lang_col: str) -> ByteCnn | None:
@@ -131,46 +136,38 @@ def train(docs: DataFrame, most: int, id_col: str, text_col: str, lang_col: str)
     labelled = docs.filter(F.col(lang_col).isNotNull()).count()
     share = min(1.0, most / max(1, labelled))
     chosen = usable.filter(F.pmod(F.xxhash64(id_col, F.lit(31)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = chosen.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(_sample_windows, "doc_id long, i int, x binary, lang string").toPandas()
+    rows = chosen.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(_sample_windows, "doc_id long, x binary, lang string").toPandas()
     if not len(rows):
         return None
-    rows = rows.sort_values(["doc_id", "i", "lang"])
+    rows = rows.sort_values(["doc_id", "lang", "x"])
     languages = sorted(rows["lang"].unique())
     net = ByteCnn(languages)
     x = np.frombuffer(b"".join(rows["x"]), np.uint8).reshape(-1, WINDOW)
-    net.train(x, rows["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy())
+    label = rows["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy()
+    net.train(x, np.repeat(label, [len(v) // WINDOW for v in rows["x"]]))
     return net
 
 
-def _classifier(shared, at_once: int = 256):
+def _classifier(shared):
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         tables = net.tables() if net else None
         for batch in batches:
-            names, scores = [], []
-            data, offsets = utf8(batch.column(3))
-            letters = batch.column(2).to_pylist()
-            for lo in range(0, batch.num_rows, 64):
-                hi = min(lo + 64, batch.num_rows)
-                own = data[offsets[lo] : offsets[hi]]
-                if net is None:
-                    names += ["und"] * (hi - lo)
-                    scores += [0.0] * (hi - lo)
-                    continue
-                total = np.zeros((hi - lo, len(net.languages)))
-                x, doc = windows(own, offsets[lo : hi + 1] - offsets[lo])
-                for a in range(0, len(x), at_once):
-                    part = x[a : a + at_once]
-                    weight = (part >= 4).sum(1, keepdims=True)
-                    np.add.at(total, doc[a : a + at_once], net.log_prob(net.pooled(part, tables)) * weight)
-                mass = np.bincount(doc, (x >= 4).sum(1), minlength=hi - lo)
+            n, letters = batch.num_rows, np.array(batch.column(2).to_pylist(), bool)
+            if net is None:
+                names, scores = ["und"] * n, np.zeros(n)
+            else:
+                total, mass = np.zeros((n, len(net.languages))), np.zeros(n)
+                data, offsets = utf8(batch.column(3))
+                for x, doc in windows(data, offsets):
+                    weight = (x >= 4).sum(1)
+                    np.add.at(total, doc, net.log_prob(net.pooled(x, tables)) * weight[:, None])
+                    np.add.at(mass, doc, weight)
                 mean = total / np.maximum(mass, 1)[:, None]
                 p = np.exp(mean - mean.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
-                for i, k in enumerate(p.argmax(1)):
-                    known = bool(letters[lo + i])
-                    names.append(net.languages[k] if known else "und")
-                    scores.append(float(p[i, k]) if known else 0.0)
+                names = [net.languages[k] if known else "und" for k, known in zip(p.argmax(1).tolist(), letters.tolist(), strict=True)]
+                scores = np.where(letters, p.max(1, initial=0), 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return classify
@@ -180,7 +177,7 @@ def identify(spark: SparkSession, docs: DataFrame, most: int = MAX_LABELLED, id_
     """doc_id, held_out, lang_pred, score, one row a document, from whole texts.
 
     Learns from rows whose crc32 of the id mod 4 isn't 2 and whose language
-    isn't null, about ``most`` of them at most.  A null text or one without a
+    isn't null, about ``most`` of them at most, each with all its windows.  A null text or one without a
     letter is ``und`` with score 0, as is every text if nothing can be learnt.
     Ties go to the first language in order; repeated rows score alike; other
     columns are ignored; an empty table gives no rows.

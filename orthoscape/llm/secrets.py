@@ -1,11 +1,13 @@
 """Secrets: base patterns, and random strings by their low characters per token.
 
 Beside the base kinds, runs of ``[A-Za-z0-9+/_=-]`` of 16 or more characters
-are encoded by a public byte-level vocabulary.  Words and names need few
-tokens; random strings about one for two characters.  A run is a secret if its
-ratio is at most ``RATIO`` and it mixes digits with letters.  Known digests (of
-32, 40, 56, 64, 96 or 128 hexadecimal digits) and identifiers (UUIDs, runs of
-digits, words joined by signs) are excluded.
+are encoded by a public byte-level vocabulary, each as a whole and each of its
+segments between ``/ = _ - +`` of that length.  Words and names need few
+tokens; random strings about one for one and a half characters.  A string is a
+secret if its ratio is at most ``RATIO``; letters of one case, which words of a
+language that the vocabulary covers badly are too, at most ``PLAIN_RATIO``.
+Known digests (of 32, 40, 56, 64, 96 or 128 hexadecimal digits) and identifiers
+(UUIDs, runs of digits, short segments joined by signs) are excluded.
 """
 
 from __future__ import annotations
@@ -21,14 +23,18 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "random")
 RATIO = 2.2
+PLAIN_RATIO = 1.5
 SHORTEST = 16
+#: A run whose segments are all shorter is names joined by signs.
+SEGMENT = 8
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 _UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
-_JOINED = re.compile(r"[A-Za-z]*\d{0,8}(?:[-_/=+][A-Za-z]*\d{0,8})*")
+_SEGMENT = re.compile(r"[A-Za-z0-9]+")
+_MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
@@ -43,16 +49,24 @@ def vocabulary(path: str | None = None):
 
 
 def is_random(run: str, encoding) -> bool:
-    """Whether a run is a random string by its token efficiency."""
-    if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+    """Whether a string is random by its token efficiency."""
+    if not re.search("[A-Za-z]", run):
         return False
     if _UUID.fullmatch(run) or (_DIGEST.fullmatch(run) and len(run) in (32, 40, 56, 64, 96, 128)):
         return False
-    if _JOINED.fullmatch(run):  # words and numbers, each number after its word
-        return False
-    # A run is read in pieces: the encoder's time grows faster than the length.
-    tokens = sum(len(encoding.encode_ordinary(run[i : i + 1000])) for i in range(0, len(run), 1000))
-    return len(run) <= RATIO * tokens
+    return len(run) <= (RATIO if _MIXED.search(run) else PLAIN_RATIO) * len(encoding.encode_ordinary(run))
+
+
+def random_spans(text: str, encoding) -> list[tuple[int, int]]:
+    """Random runs of a text, or else the random segments of a run."""
+    out = []
+    for m in _RUN.finditer(text):
+        segments = [(m.start() + s.start(), m.start() + s.end()) for s in _SEGMENT.finditer(m.group())]
+        if max((b - a for a, b in segments), default=0) >= SEGMENT and is_random(m.group(), encoding):
+            out.append(m.span())
+        elif len(segments) > 1:
+            out += [(a, b) for a, b in segments if b - a >= SHORTEST and is_random(text[a:b], encoding)]
+    return out
 
 
 def find(text: str, encoding) -> list[tuple[int, int, str]]:
@@ -62,9 +76,7 @@ def find(text: str, encoding) -> list[tuple[int, int, str]]:
         out += [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
         out += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    for m in _RUN.finditer(text):
-        if is_random(m.group(), encoding):
-            out.append((m.start(), m.end(), "random"))
+    out += [(a, b, "random") for a, b in random_spans(text, encoding)]
     out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 

@@ -1,55 +1,74 @@
 """Toxicity on restored text: noisy-channel decoding, then a word model.
 
-A disguised token is a lattice of letters: a sign or digit may stand for some
-letters, a repeated letter for fewer, a separator for none.  Viterbi decoding
-under a character trigram model picks the likeliest word.  A token whose
-lattice has one path is its own decoding, so only tokens with look-alikes,
-runs, separators or spaced letters are decoded, each once a task.  The trigrams
-are counted over all words of all documents.  Scores are logistic regressions
-on the distinct words of the restored text, trained by
-follow-the-regularised-leader on a bounded sample of labelled rows.
+A disguised stretch is a lattice of letters: a sign or digit may stand for some
+letters, a repeated letter for fewer, a separator for none, a blank between
+single letters for none or for a border of words.  Viterbi decoding under a
+character trigram model picks the likeliest words.  A token whose lattice has
+one path is its own decoding; all others are decoded, each distinct one once a
+task.  The trigrams are counted over all words of all documents.  Scores are
+logistic regressions on the distinct words of the restored text and their
+stems, trained by follow-the-regularised-leader on a bounded sample of labelled
+rows.
 """
 
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import Ftrl, held_out, labelled_sample
-from .words import WORD, Words, word_chunks
+from .words import WORD, Words, mix, word_chunks
 
 BITS = 20
 MAX_LABELLED = 6000
 THRESHOLD = 0.3
 CACHED = 200_000
-PIECE = 48
+#: Letters of a stem: words that begin alike share a feature.
+STEM = 5
 
 # Letters that a sign or digit is written for.
 LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SEPARATORS = ".-_* "
+#: Accented Latin letters in lower case, and the plain ones that they are read as.
+_BASE = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(0xDF, 0x180) if chr(c).islower()} | {"ß": "s", "ø": "o"}
+ACCENTED, PLAIN = ("".join(x) for x in zip(*((c, p) for c, p in _BASE.items() if p.isascii()), strict=True))
+_FOLD = str.maketrans(ACCENTED, PLAIN)
+#: Letters outside the alphabets that are told apart.
+OTHER = "?"
+_ALPHABETS = r"a-z\u0370-\u052F"
 
 LETTER = np.zeros(256, np.uint8)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+#: Bytes of tokens: 1 letters, 2 look-alikes, 3 separators, 0 what else.
 _KIND = np.zeros(256, np.uint8)
-_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _KIND[[ord(c) for c in LOOKALIKE]] = 2
 _KIND[[ord(c) for c in SEPARATORS.strip()]] = 3
 
 
-class CharModel:
-    """Character trigrams of words of ASCII letters, with add-one smoothing over bigrams."""
+def _known(c: str) -> bool:
+    return "a" <= c <= "z" or "\u0370" <= c <= "\u052f"
+
+
+def folded(text: str) -> str:
+    """Lower case without accents; letters of other alphabets become one sign."""
+    out = text.lower().translate(_FOLD)
+    return out if out.isascii() else "".join(c if not c.isalpha() or _known(c) else OTHER for c in out)
 
-    ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+
+class CharModel:
+    """Character trigrams of folded words, with add-one smoothing over bigrams."""
 
     def __init__(self, counts: dict[str, int]):
         tri: dict[str, float] = {}
         for word, n in counts.items():
-            padded = f"^^{word}$"
+            padded = f"^^{folded(word)}$"
             for i in range(len(padded) - 2):
                 tri[padded[i : i + 3]] = tri.get(padded[i : i + 3], 0) + n
         self._fit(tri)
@@ -74,13 +93,15 @@ class CharModel:
 
 
 def _options(text: str, i: int, squeeze: bool) -> list[tuple[str, float]]:
-    """Letters that the i-th sign can stand for, each with its channel log-probability."""
+    """Letters that the i-th sign can stand for, each with its channel log-probability; a blank is a border of words."""
     c = text[i]
-    if c.isalpha():
+    if c.isalpha() or c == OTHER:
         out = [(c, 0.0)]
         if squeeze and i and text[i - 1] == c:
             out.append(("", -0.3))
         return out
+    if c == " ":
+        return [("", -0.2), (" ", -0.2)]
     if c in LOOKALIKE:
         out = [(x, -0.5 - 0.3 * k) for k, x in enumerate(LOOKALIKE[c])]
         if squeeze and i and text[i - 1] == c:
@@ -91,57 +112,88 @@ def _options(text: str, i: int, squeeze: bool) -> list[tuple[str, float]]:
 
 
 def decode(token: str, model: CharModel, squeeze: bool = True) -> str:
-    """The likeliest word for a token, by Viterbi; states are the last two letters.
+    """The likeliest words for a token of any length, by Viterbi; states are the last two letters of a word.
 
-    Without ``squeeze`` repeated letters stay, as doubled ones are common.
+    Each step holds its states only, with pointers back, so time and memory
+    grow with the length.  Without ``squeeze`` repeated letters stay, as
+    doubled ones are common.
     """
-    text = token.lower()
-    if len(text) > PIECE:
-        return "".join(decode(text[i : i + PIECE], model, squeeze) for i in range(0, len(text), PIECE))
-    best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+    text = folded(token)
+    best: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
     for i in range(len(text)):
-        ahead: dict[str, tuple[float, str]] = {}
+        ahead: dict[str, tuple[float, tuple | None]] = {}
         for letter, channel in _options(text, i, squeeze):
-            for state, (score, word) in best.items():
-                if letter:
-                    to, total, made = state[1] + letter, score + channel + model.log_prob(state, letter), word + letter
+            for state, (score, path) in best.items():
+                if letter == " ":
+                    if state == "^^":
+                        continue
+                    to, total, made = "^^", score + channel + model.log_prob(state, "$"), (path, " ")
+                elif letter:
+                    to, total, made = state[1] + letter, score + channel + model.log_prob(state, letter), (path, letter)
                 else:
-                    to, total, made = state, score + channel, word
+                    to, total, made = state, score + channel, path
                 if to not in ahead or total > ahead[to][0]:
                     ahead[to] = (total, made)
         best = ahead
-    return max(((s + model.log_prob(state, "$"), w) for state, (s, w) in best.items()), default=(0.0, ""))[1]
+    path = max(((s + model.log_prob(state, "$"), i, p) for i, (state, (s, p)) in enumerate(best.items())), key=lambda x: (x[0], -x[1]), default=(0.0, 0, None))[2]
+    out: list[str] = []
+    while path is not None:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out)).strip()
 
 
 def _disguised(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, text) of stretches whose lattice has more than one path."""
+    """(start, end, text) of stretches whose lattice has more than one path.
+
+    These are tokens with a letter and a look-alike, a separator or a repeated
+    letter, tokens of three look-alikes or more, and runs of two or more tokens
+    of one sign each.
+    """
     data, kind = words.data, _KIND[words.data]
-    hit = np.zeros(len(data), bool)
-    if len(data) > 2:
-        hit[:-1] |= (kind[:-1] == 2) & (kind[1:] == 1)
-        digit = (data >= 48) & (data <= 57)
-        hit[1:] |= digit[1:] & (kind[1:] == 2) & (kind[:-1] == 1)
-        hit[1:-1] |= (kind[:-2] == 1) & (kind[1:-1] == 3) & (kind[2:] == 1)
-        same = (data[1:] | 32) == (data[:-1] | 32)
-        hit[2:] |= same[1:] & same[:-1] & (kind[2:] == 1)
-    index = np.unique(np.searchsorted(words.start, np.flatnonzero(hit), "right") - 1)
-    index = index[index >= 0]
-    start, end = words.start[index], words.end[index]
-    single = (words.end - words.start == 1) & (kind[words.start] > 0) if len(words.start) else np.zeros(0, bool)
+    at = np.zeros(len(data) + 1, np.int64)
+    letters, alike, signs, doubled = (at.copy() for _ in range(4))
+    np.cumsum(kind == 1, out=letters[1:])
+    np.cumsum(kind == 2, out=alike[1:])
+    np.cumsum(kind == 3, out=signs[1:])
+    if len(data) > 1:
+        np.cumsum(((data[1:] | 32) == (data[:-1] | 32)) & (kind[1:] == 1) & (kind[:-1] == 1), out=doubled[2:])
+    a, b = words.start, words.end
+    n, m, inner = letters[b] - letters[a], alike[b] - alike[a], signs[b] - signs[a]
+    if len(a):  # signs at the end of a token are punctuation
+        inner = inner - (kind[b - 1] == 3) - ((kind[a] == 3) & (b - a > 1))
+    twice = doubled[b] - doubled[np.minimum(a + 1, b)]
+    index = np.flatnonzero(((n > 0) & ((m > 0) | (inner > 0) | (twice > 0))) | ((m > 2) & (n == 0)))
+    start, end = a[index], b[index]
+    single = (b - a == 1) & (kind[a] > 0) & (kind[a] < 3) if len(a) else np.zeros(0, bool)
     near = np.zeros(len(single), bool)
-    near[1:] = single[1:] & single[:-1] & (words.start[1:] - words.end[:-1] == 1)
+    near[1:] = single[1:] & single[:-1] & (a[1:] - b[:-1] == 1)
     doc = np.searchsorted(words.offsets, np.arange(len(single)), "right") - 1
     near[1:] &= doc[1:] == doc[:-1]
     edge = np.diff(np.concatenate([[0], near.astype(np.int8), [0]]))
     lo, hi = np.flatnonzero(edge == 1) - 1, np.flatnonzero(edge == -1) - 1
-    keep = hi - lo >= 3  # four letters at least
-    start = np.concatenate([start, words.start[lo[keep]]])
-    end = np.concatenate([end, words.end[hi[keep]]])
+    start = np.concatenate([start, a[lo]])
+    end = np.concatenate([end, b[hi]])
     return start, end, np.searchsorted(words.bounds, start, "right") - 1
 
 
+def _stems(letters: Words) -> np.ndarray:
+    """Hashes of the first STEM letters of each longer run of letters; of shorter ones their own."""
+    start, end = letters.start, letters.end
+    out = letters.hash.copy()
+    long = np.flatnonzero(end - start > STEM)
+    if len(long):
+        spelled = np.zeros(len(long), np.uint64)
+        for j in range(STEM):
+            c = letters.data[start[long] + j]
+            c = np.where((c >= 65) & (c <= 90), c + 32, c)
+            spelled = mix(spelled + c.astype(np.uint64) + np.uint64(1))
+        out[long] = spelled
+    return out
+
+
 class Restorer:
-    """Hashes of the distinct words of restored texts."""
+    """Hashes of the distinct words of restored texts, and of their stems."""
 
     def __init__(self, model: CharModel):
         self.model, self.known = model, {}
@@ -152,20 +204,24 @@ class Restorer:
                 self.known.clear()
             token = raw.decode("utf-8", "replace")
             plain = token.rstrip("!$|+.-_*,;:?\"')").lstrip("+.-_*,;:?\"'(|")
-            restored = {decode(x, self.model, squeeze) for x in (token, plain) if x for squeeze in (True, False)} - {""}
-            self.known[raw] = tuple(int(h) for w in word_chunks(pa.array(sorted(restored)), lower=True) for h in w.hash)
+            restored = {decode(x, self.model, squeeze) for x in {token, plain} if x for squeeze in (True, False)}
+            hashes: set[int] = set()
+            for words in word_chunks(pa.array(sorted(restored - {""})), lower=True, classes=LETTER):
+                hashes.update(words.hash.tolist(), _stems(words).tolist())
+            self.known[raw] = tuple(sorted(hashes))
         return self.known[raw]
 
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         for words in word_chunks(column, classes=WORD):
             letters = Words(words.lo, words.hi, words.data, words.bounds, True, LETTER)
+            stems = _stems(letters)
             extra: dict[int, list[int]] = {}
             start, end, doc = _disguised(words)
             data = words.data.tobytes() if len(start) else b""
             for a, b, d in zip(start.tolist(), end.tolist(), doc.tolist(), strict=True):
                 extra.setdefault(d, []).extend(self._words(data[a:b]))
             o = letters.offsets
-            yield words.lo, [np.unique(np.concatenate([letters.hash[o[d] : o[d + 1]], np.array(extra.get(d, []), np.uint64)])) for d in range(words.hi - words.lo)]
+            yield words.lo, [np.unique(np.concatenate([letters.hash[o[d] : o[d + 1]], stems[o[d] : o[d + 1]], np.array(extra.get(d, []), np.uint64)])) for d in range(words.hi - words.lo)]
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -183,9 +239,16 @@ def _extractor(shared):
     return extract
 
 
+def folded_words(text: Column) -> Column:
+    """The words of a text in lower case without accents; letters of other alphabets become one sign."""
+    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
+    found = F.regexp_extract_all(plain, F.lit(r"(?<![\p{L}\p{N}])\p{L}+(?![\p{L}\p{N}])"), F.lit(0))
+    return F.transform(found, lambda w: F.regexp_replace(w, f"[^{_ALPHABETS}]", OTHER))
+
+
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
-    """A model of all words of docs; what is collected is bounded by the alphabet."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"(?<![\p{L}\p{N}])[a-z]{2,}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
+    """A model of all words of docs; what is collected is bounded by the alphabets."""
+    words = docs.select(F.explode(folded_words(F.col(text_col))).alias("w"))
     padded = words.groupBy("w").count().select(F.concat(F.lit("^^"), "w", F.lit("$")).alias("p"), "count")
     grams = padded.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - 2), lambda i: F.substring("p", i, 3))).alias("g"), "count")
     return CharModel.of_trigrams({r[0]: r[1] for r in grams.groupBy("g").agg(F.sum("count")).collect()})

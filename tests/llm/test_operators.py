@@ -437,17 +437,161 @@ def test_scores_ignore_labels_of_held_out_rows(spark):
     assert a == b
 
 
+MODEL = {"idiot": 50, "stupid": 40, "scum": 30, "the": 500, "word": 80, "hello": 60, "a": 900, "moron": 50, "ass": 20, "you": 300, "are": 300, "an": 200}
+
+
+def brute_decode(token, model, squeeze):
+    """The best of all paths of the lattice, scored one by one."""
+    text, best = toxicity.folded(token), (-math.inf, "")
+    for path in itertools.product(*[toxicity._options(text, i, squeeze) for i in range(len(text))]):
+        score, state = 0.0, "^^"
+        for letter, channel in path:
+            score += channel
+            if letter == " ":
+                score, state = (score + model.log_prob(state, "$"), "^^") if state != "^^" else (-math.inf, state)
+            elif letter:
+                score, state = score + model.log_prob(state, letter), state[1] + letter
+        best = max(best, (score + model.log_prob(state, "$"), "".join(x for x, _ in path).strip()), key=lambda x: x[0])
+    return best
+
+
+def test_decoding_equals_all_paths():
+    model, rng = toxicity.CharModel(MODEL), random.Random(6)
+    for _ in range(150):
+        token = "".join(rng.choice("idotsam1105$@.-  llé中+") for _ in range(rng.randrange(1, 9))).strip()
+        for squeeze in (True, False):
+            got, (score, want) = toxicity.decode(token, model, squeeze), brute_decode(token, model, squeeze)
+            assert got == want or _spells(token, model, squeeze, got, score)  # ties may be spelt in several ways
+
+
+def _spells(token, model, squeeze, got, score):
+    """Whether some path of the lattice spells ``got`` with this score."""
+    text = toxicity.folded(token)
+    for path in itertools.product(*[toxicity._options(text, i, squeeze) for i in range(len(text))]):
+        total, state = 0.0, "^^"
+        for letter, channel in path:
+            total += channel
+            if letter == " ":
+                total, state = (total + model.log_prob(state, "$"), "^^") if state != "^^" else (-math.inf, state)
+            elif letter:
+                total, state = total + model.log_prob(state, letter), state[1] + letter
+        if "".join(x for x, _ in path).strip() == got and abs(total + model.log_prob(state, "$") - score) < 1e-9:
+            return True
+    return False
+
+
 def test_disguised_words_are_restored():
-    model = toxicity.CharModel({"idiot": 50, "stupid": 40, "scum": 30, "the": 500, "word": 80, "hello": 60})
-    for token in ("1d10t", "i.d.i.o.t", "i d i o t", "idiiiiot", "ID1OT"):
+    model = toxicity.CharModel(MODEL)
+    for token in ("1d10t", "i.d.i.o.t", "i d i o t", "idiiiiot", "ID1OT", "iddiot", "i--d--i--o--t", "ídïot"):
         assert toxicity.decode(token, model) == "idiot"
-    assert toxicity.decode("$tup!d", model) == "stupid" and toxicity.decode("x" * 500, model)
+    assert toxicity.decode("$tup!d", model) == "stupid" and toxicity.decode("a$$", model) == "ass" and toxicity.decode("scuum", model) == "scum"
+    assert toxicity.decode("a m o r o n", model) == "a moron" and toxicity.decode("y o u a r e a n i d i o t", model) == "you are an idiot"
+    # The length before a word changes nothing, at any length.
+    assert {toxicity.decode("." * k + "1d10t", model) for k in (*range(40, 100), 5_000)} == {"idiot"}
+    assert toxicity.decode("x" * 500, model) and toxicity.decode("1d10t" * 4_000, model).startswith("idiotidiot")
+
+
+def test_disguised_stretches_are_found():
+    text = "say iddiot a$$ i--d--i--o--t a m o r o n plain text. the 'word' 123 4 5, i a! $+!! stu\u0301pid é"
+    for words in word_chunks(pa.array([text, "x", "y"]), classes=WORD):
+        start, end, doc = toxicity._disguised(words)
+        got = [words.data[a:b].tobytes().decode() for a, b in zip(start, end, strict=True)]
+    assert got == ["iddiot", "a$$", "i--d--i--o--t", "a!", "$+!!", "a m o r o n"] and set(doc.tolist()) == {0}
+
+
+def test_scores_equal_a_slow_version(spark):
+    """Toxicity, quality and language scores, recomputed text by text and feature by feature."""
+    docs, labels, _ = corpus(spark, 300)
+    docs = docs.unionByName(table(spark, [None, "", "é", "a " * 3000, "1d10t b.l.o.r.g.h x\ty"]).withColumn("doc_id", F.col("doc_id") + 5000))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+
+    def hashes(t, classes):
+        return [int(h) for w in word_chunks(pa.array([t]), lower=classes is toxicity.LETTER, classes=classes) for h in w.hash]
+
+    weights = quality.train(quality.labelled_sample(docs, labels, "quality", 3, 1, quality.MAX_LABELLED))
+    got = {r.doc_id: r.score for r in quality.quality_scores(spark, docs, labels).collect()}
+    for i, t in texts.items():
+        h = hashes(t, quality.TOKEN)
+        at = [x >> 64 - quality.BITS for x in h]
+        for a, b in itertools.pairwise(h):
+            at.append(1 if a == b else int(quality.mix(np.array([b], np.uint64) + quality.mix(np.array([a], np.uint64)))[0]) >> 64 - quality.BITS)
+        assert got[i] == pytest.approx(sigmoid(sum(float(weights[x]) for x in at) * quality.SCALE / max(1, len(at)) + float(weights[-1])), abs=1e-4)
+
+    shared, table_ = toxicity.train(spark, docs, quality.labelled_sample(docs, labels, "toxic", 4, 2, toxicity.MAX_LABELLED))
+    model = shared.value
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(spark, docs, labels).collect()}
+    for i, t in texts.items():
+        parts = [t]
+        for token in t.split():
+            lattice = [toxicity._options(toxicity.folded(token), k, True) for k in range(len(token))]
+            if any(len(x) > 1 or not x[0][0] for x in lattice):
+                for x in (token, token.rstrip("!$|+.-_*,;:?\"')").lstrip("+.-_*,;:?\"'(|")):
+                    parts += [toxicity.decode(x, model, q) for q in (True, False) if x]
+        for run in re.findall(r"(?<!\S)\S(?: \S)+(?!\S)", t):
+            parts += [toxicity.decode(run, model, q) for q in (True, False)]
+        found = set()
+        for part in parts:
+            for w in re.findall(r"[a-zA-Z\u0080-\U0010ffff]+", part):
+                found |= set(hashes(w, toxicity.LETTER))
+                found |= {int(h) for x in word_chunks(pa.array([w]), lower=True, classes=toxicity.LETTER) for h in toxicity._stems(x)}
+        want = sigmoid(sum(float(table_[h >> 64 - toxicity.BITS]) for h in found) + float(table_[-1]))
+        assert got[i] == pytest.approx(want, abs=1e-3), t[:80]
+
+    net = language_id.train(docs, language_id.MAX_LABELLED, "doc_id", "text", "lang")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(spark, docs).collect()}
+    for i in [*list(texts)[:60], 5002, 5003, 5004]:
+        raw, total, mass = texts[i].encode(), np.zeros(len(net.languages)), 0
+        for a in range(0, len(raw), language_id.WINDOW):
+            x = [int(language_id.CLASS[b]) for b in raw[a : a + language_id.WINDOW]]
+            letters = sum(c >= 4 for c in x)
+            x += [0] * (language_id.WINDOW - len(x))
+            pooled = []
+            for k, w in enumerate(language_id.WIDTHS):
+                sums = sum(net.conv[k][j][x[j : language_id.WINDOW - w + 1 + j]] for j in range(w))
+                pooled.append(sums.max(0))
+            z = np.maximum(np.concatenate(pooled) + net.bias, 0) @ net.out + net.base
+            total, mass = total + letters * (z - np.log(np.exp(z - z.max()).sum()) - z.max()), mass + letters
+        p = np.exp(total / max(1, mass) - (total / max(1, mass)).max())
+        p /= p.sum()
+        assert got[i] == (net.languages[int(p.argmax())], pytest.approx(float(p.max()), abs=1e-3))
+
+
+def test_windows_hold_whole_texts():
+    rng = random.Random(1)
+    texts = [bytes(rng.randrange(256) for _ in range(n)) for n in (0, 1, 127, 128, 129, 0, 5000, 300, 256, 0)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    got = collections.defaultdict(list)
+    for x, doc in language_id.windows(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), at_once=7):
+        assert len(x) <= 7
+        for row, d in zip(x, doc, strict=True):
+            got[int(d)] += row.tolist()
+    for d, t in enumerate(texts):
+        want = language_id.CLASS[np.frombuffer(t, np.uint8)].tolist()
+        assert got[d] == want + [0] * (-len(want) % language_id.WINDOW)
+
+
+def test_random_strings_are_found():
+    """Recall of the added spans on planted strings, and prose without any."""
+    encoding, rng = secrets.vocabulary(), random.Random(4)
+    both = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for alphabet, n in ((both + "0123456789", 20), (both, 20), (both + "0123456789+/", 40), (both[:26] + "0123456789", 24)):
+        for before, after in (("see ", ""), ("github_personal_access_credentials/ghp_", ""), ("a=", ";"), ("(", ")")):
+            keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(100)]
+            texts = [f"é {before}{k}{after} end" for k in keys]
+            hit = sum(any(a <= len(f"é {before}") and b >= len(f"é {before}") + n for a, b in secrets.random_spans(t, encoding)) for t, k in zip(texts, keys, strict=True))
+            assert hit >= 95, (alphabet, before, hit)
+    assert secrets.random_spans("k " + "Zq8" * 20_000, encoding) == [(2, 60_002)]  # a run of any length is one string
+    for t in ("Donaudampfschifffahrtsgesellschaft getElementsByTagName", "2024-01-02/10-11-12_v1-a2-b3", "uuid 123e4567-e89b-12d3-a456-426614174000 " + "0f" * 20, "internationalization_of_the_user_interface/readme", "1234567890123456 0000-1111-2222-3333"):
+        assert secrets.random_spans(t, encoding) == [], t
 
 
 def test_character_model_counts_all_words(spark, monkeypatch):
     names = ["".join(x) for x in itertools.islice(itertools.product("abcdefghij", repeat=5), 22_000)]
     texts = [None, "", "Naïve x1 abc2", *(" ".join(names[i : i + 100]) for i in range(0, len(names), 100)), "Zyzzyva, zyzzyva"]
-    want = toxicity.CharModel(collections.Counter([*names, "zyzzyva", "zyzzyva"]))
+    want = toxicity.CharModel(collections.Counter([*names, "zyzzyva", "zyzzyva", "naïve"]))
     docs = table(spark, texts)
     seen = []
     f = toxicity.char_model
