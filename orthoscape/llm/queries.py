@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +52,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_personal_data(spark, _docs(spark, sf_dir))
+    """The key is the session's setting, or a fresh one: surrogates of different runs then don't match."""
+    key = spark.conf.get("orthoscape.surrogate.key", None)
+    return replace_personal_data(spark, _docs(spark, sf_dir), key.encode() if key else os.urandom(32))
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -23,6 +24,9 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, no
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+KEY = bytes(range(32))
+
+
 def words_of(t):
     return WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
 
@@ -118,7 +122,7 @@ def test_repeated_ids_and_empty_tables(spark):
         lambda: packing.pack(spark, empty),
         lambda: rules.quality_rules(empty),
         lambda: secrets.scan_secrets(empty),
-        lambda: surrogates.replace_personal_data(spark, empty),
+        lambda: surrogates.replace_personal_data(spark, empty, KEY),
         lambda: language_id.identify(spark, empty),
         lambda: quality.quality_scores(spark, empty, labels),
         lambda: toxicity.toxicity_scores(spark, empty, labels),
@@ -363,7 +367,7 @@ def test_surrogates_keep_form_and_identity(spark):
         "Mrs. Mary Poppins met Mr Poppins and Госпожа Иванова. SSN 123-45-6789, DE44 5001 0517 5407 3249 31",
         "Plain words, version 1.2.3 of 2024-01-02, nothing else here.",
     ]
-    got = {r.doc_id: r for r in surrogates.replace_personal_data(spark, table(spark, texts)).collect()}
+    got = {r.doc_id: r for r in surrogates.replace_personal_data(spark, table(spark, texts), KEY).collect()}
     assert got[0].text is None and got[1].text == "" and got[5].text == texts[5] and got[5].spans == ""
     for secret in ("ann.lee", "ANN.LEE", "212", "0123", "10.0.0.7", "10.0.0.8", "4111", "Poppins", "Mary", "Иванова", "123-45", "5407"):
         assert all(secret not in (got[i].text or "") for i in (2, 3, 4)), secret
@@ -385,12 +389,78 @@ def test_surrogates_stay_distinct(spark, monkeypatch, broadcast):
     monkeypatch.setattr(surrogates, "BROADCAST_ROWS", broadcast)
     numbers = [f"+1 ({100 + i // 100}) 555-{i * 37 % 10000:04d}" for i in range(12_000)]
     texts = [f"call {n} or {n}" for n in dict.fromkeys(numbers)]
-    first = collections.Counter(surrogates.surrogate("phone", surrogates.normal("phone", n), b"orthoscape") for n in dict.fromkeys(numbers))
+    first = collections.Counter(surrogates.surrogate("phone", surrogates.normal("phone", n), KEY) for n in dict.fromkeys(numbers))
     assert max(first.values()) > 1
-    got = [r.text for r in surrogates.replace_personal_data(spark, table(spark, texts)).select("text").collect()]
+    got = [r.text for r in surrogates.replace_personal_data(spark, table(spark, texts), KEY).select("text").collect()]
     assert len(set(got)) == len(texts) and all(len(set(re.findall(r"\+1 \(\d{3}\) 555-\d{4}", t))) == 1 for t in got)
 
 
+def test_surrogates_preserve_identity(spark):
+    """Distinctness and coreference, checked against every pair of mentions."""
+    rng = random.Random(12)
+    names = ["Alex", "Zelda", "Robin", "Alexandra", "Иванова", "Doe", "Rey-Ruiz"]
+    domains = ["a.org", "b.org", "c.org", "site.org", "x1.example.com", "x2.example.com", "mail-9.example.com"]
+    texts = ["Dr. Alex Doe met Mr. Alex Robin. Doe left; Robin and Alexandra stayed. Mrs. Zelda Doe wrote.", "Prof. Zelda Robin saw Alex Doe."]
+    texts += [f"write to {c}@{d} or {c.upper()}@{d.upper()}" for c in "abcdefghijklmnopqrstuvwxyz" for d in domains[:4]]
+    texts += [f"see {rng.choice('abc')}{i}.x@{rng.choice(domains)} of Mr {rng.choice(names)} and then {rng.choice(names)}" for i in range(200)]
+    texts += ["@@ a@b @x.org a.@b.co ..b@c.org é@d.org я.b@e.org x@-.org", "a1" * 500_000, "a@" * 100_000, "Doe" * 100_000]
+    got = [r.text for r in sorted(surrogates.replace_personal_data(spark, table(spark, texts), KEY).collect(), key=lambda r: r.doc_id)]
+    image = {}
+    for t, u in zip(texts[:-4], got[:-4], strict=True):
+        a, b = ([(x[2], t_[x[0] : x[1]].lower()) for x in surrogates.mentions(t_) if x[2] == "email"] for t_ in (t, u))
+        assert len(a) == len(b)
+        for (_, x), (_, y) in zip(a, b, strict=True):
+            assert image.setdefault(x, y) == y and x != y
+            assert image.setdefault(x.split("@")[1], y.split("@")[1]) == y.split("@")[1]
+    emails = {k: v for k, v in image.items() if "@" in k}
+    hosts = {k: v for k, v in image.items() if "@" not in k}
+    for group in (emails, hosts):
+        assert len(set(group.values())) == len(group)
+    assert not set(emails) & set(emails.values()) and hosts == {d: surrogates.domain_surrogate(d, KEY) for d in hosts}
+    # One surrogate for a name with any title, and for its repeats without one; the gender is the title's where it is one.
+    m = re.fullmatch(r"Dr. (\w+) (\w+) met Mr. (\w+) (\w+). (\w+) left; (\w+) and (\w+) stayed. Mrs. (\w+) (\w+) wrote.", got[0])
+    assert m and m[1] == m[3] and m[2] == m[5] == m[9] and m[4] == m[6] and m[7] == "Alexandra" and len({m[1], m[2], m[4], m[8]}) == 4
+    assert m[1].endswith(surrogates._ENDS["latin"]["m"]) and m[8].endswith(surrogates._ENDS["latin"]["f"])
+    assert f"Prof. {m[8]} {m[4]} saw " in got[1] and "Doe" not in got[0] and "Robin" not in got[1]
+    with pytest.raises(ValueError):
+        surrogates.replace_personal_data(spark, table(spark, texts), b"short")
+
+
+def test_domains_are_permuted():
+    for hosts in (["".join(x) for n in (1, 2) for x in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=n)], [f"{a}-{b}" for a in range(10) for b in range(10)]):
+        made = [surrogates.domain_surrogate(f"{h}.org", KEY) for h in hosts]
+        assert sorted(made) == sorted(f"{h}.org" for h in hosts) and all(m != f"{h}.org" for m, h in zip(made, hosts, strict=True))
+
+
+@pytest.mark.parametrize("text", ["a1" * 500_000, "ab." * 333_000, "a@" * 500_000, "1-" * 500_000, "A" * 1_000_000, "Mr " * 300_000, "DE44 " * 200_000])
+def test_mentions_take_linear_time(text):
+    began = time.process_time()
+    surrogates.mentions(text)
+    assert time.process_time() - began < 5  # the slowest takes about one second; quadratic time would take an hour
+
+
+def test_recall_of_personal_data():
+    """Shares of planted entities that are found as a whole."""
+    rng = random.Random(3)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    make = {
+        "email": lambda: f"{rng.choice(['ann', 'j.doe', 'x_y+z', 'Büro'])}{d(2)}@{rng.choice(['mail', 'a-b', 'x.y'])}{d(1)}.{rng.choice(['org', 'co.uk', 'example.com'])}",
+        "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        "ssn": lambda: f"{d(3)}-{d(2)}-{d(4)}",
+        "phone": lambda: rng.choice([f"+1 ({d(3)}) 555-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"+49 {d(3)} {d(3)} {d(4)}"]),
+        "card": lambda: f"4{d(3)} {d(4)} {d(4)} {d(4)}",
+        "iban": lambda: f"DE{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}",
+        "surname": lambda: rng.choice(["Smith", "Nowak", "García", "Иванова", "Rey-Ruiz"]),
+    }
+    for kind, f in make.items():
+        hit = 0
+        for _ in range(200):
+            x = f()
+            before = "we met " + (rng.choice(["Mr. ", "Mrs ", "Dr. ", "Mary ", "Herr "]) if kind == "surname" else "")
+            hit += (len(before), len(before) + len(x), kind) in {m[:3] for m in surrogates.mentions(f"{before}{x}, then left.")}
+        assert hit >= 196, (kind, hit)
+
+
 def corpus(spark, n=900):
     """Labelled texts: junk has signs after words, toxic texts have slurs, often disguised."""
     rng = random.Random(8)
