@@ -19,15 +19,16 @@ and a spanning forest.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .staging import Stage, attach_by_key, rank_in_group
+from .staging import KeyFilter, Stage, attach_by_key, key_filter, rank_in_group
 from .words import mix, shingles, word_chunks
 
 WIDTH = 4
@@ -129,17 +130,24 @@ def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, size = [], []
-            for words in word_chunks(batch.column(1), lower=True):
+            for words in word_chunks(batch.column(2), lower=True):
                 tokens, offsets = shingles(words, width)
                 node.append(_set_hashes(tokens, offsets))
                 size.append(np.diff(offsets))
             if node:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(node).view(np.int64)), pa.array(np.concatenate(size))], ["doc_id", "node", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(node).view(np.int64)), pa.array(np.concatenate(size))], ["doc_id", "row", "node", "n_shingles"])
 
     return sign
 
 
-def _keyer(width: int, percent: int):
+def _batch(key: np.ndarray, node: np.ndarray, wanted: KeyFilter | None) -> pa.RecordBatch:
+    if wanted is not None:
+        may = wanted.may_hold(key)
+        key, node = key[may], node[may]
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node.view(np.int64))], ["key", "node"])
+
+
+def _keyer(width: int, percent: int, wanted: KeyFilter | None):
     """Keys of each set, once a task for equal sets: copies are combined before the shuffle."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +167,12 @@ def _keyer(width: int, percent: int):
                     continue
                 part = [tokens[offsets[i] : offsets[i + 1]] for i in first]
                 at, key = parity_keys(np.concatenate(part), np.concatenate([[0], np.cumsum([len(p) for p in part])]), percent)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[np.array(first)][at].view(np.int64))], ["key", "node"])
+                yield _batch(key, node[np.array(first)][at], wanted)
 
     return keys
 
 
-def _refiner(width: int, percent: int):
+def _refiner(width: int, percent: int, wanted: KeyFilter | None):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             salt = batch.column(0).to_numpy().view(np.uint64)
@@ -174,16 +182,25 @@ def _refiner(width: int, percent: int):
                 at, key = parity_keys(tokens, offsets, percent, salt[words.lo : words.hi])
                 own = _set_hashes(tokens, offsets).view(np.int64) == node[words.lo : words.hi]
                 at, key = at[own[at]], key[own[at]]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[words.lo : words.hi][at])], ["key", "node"])
+                yield _batch(key, node[words.lo : words.hi][at], wanted)
 
     return keys
 
 
-def _multi(keys: DataFrame) -> DataFrame:
-    """(key, node, members) of the buckets that hold two nodes at least."""
-    by = Window.partitionBy("key")
-    rows = keys.withColumn("lo", F.min("node").over(by)).withColumn("hi", F.max("node").over(by)).filter("lo < hi")
-    return rows.select("key", "node").distinct()
+def _multi(stage: Stage, texts: DataFrame, keyer, name: str) -> DataFrame:
+    """(key, node) of the buckets that hold two nodes at least.
+
+    A key's smallest and largest node are combined before the shuffle, so a
+    key of any number of sets is a row a task.  Then only the keys of such
+    buckets are made again: most sets share none.
+    """
+    schema = "key long, node long"
+    ends = texts.mapInArrow(keyer(None), schema).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = stage.write(ends.filter("lo < hi").select("key"), f"{name}-keys")
+    rows = texts.mapInArrow(keyer(key_filter(shared, "key")), schema).distinct().join(shared, "key", "left_semi")
+    multi = stage.write(rows, name)
+    stage.drop(f"{name}-keys")
+    return multi
 
 
 class _Forest:
@@ -290,7 +307,7 @@ def _comparer(width: int, percent: int):
     return compare
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, n_links.
 
     Documents link when 100 * intersection >= percent * union of their sets of
@@ -300,17 +317,22 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     component; a text of fewer words is one shingle.  Copies and ties link as
     any pair; an empty table gives no rows; other columns are ignored; rows
     with a null id keep their shingles' component of documents that have an id.
+    With row_col, a unique long of each row, that column is returned too, and
+    ``first``: true for one row of each component, the smallest by (id, row),
+    null ids last.
     """
     stage = Stage(spark, "jaccard")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stage.write(base.mapInArrow(_signer(width), "doc_id long, node long, n_shingles long"), "signed")
-    classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n")), "classes")
-    keys = base.select("text").mapInArrow(_keyer(width, percent), "key long, node long")
-    multi = stage.write(_multi(keys), "multi")
+    number = F.col(row_col if row_col else id_col).cast("long").alias("row")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), number, F.col(text_col).alias("text"))
+    signed = stage.write(base.mapInArrow(_signer(width), "doc_id long, row long, node long, n_shingles long"), "signed")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(least.alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n")), "classes")
+    multi = _multi(stage, base.select("text"), functools.partial(_keyer, width, percent), "multi")
 
     wanted = stage.write(multi.select("node").distinct(), "wanted")
-    rep = classes.join(wanted, "node").select(F.col("first").alias("doc_id"), "node", "copies")
-    texts = stage.write(base.join(rep.hint("merge"), "doc_id"), "texts")  # the same plan at every size
+    rep = classes.join(wanted, "node").select(F.col("least.row").alias("row"), "node", "copies")
+    may_stand = key_filter(rep.select(F.xxhash64("row").alias("h")), "h")
+    texts = stage.write(base.select("row", "text").filter(may_stand.column(F.xxhash64("row"))).join(rep, "row"), "texts")
 
     # Near copies share many parts.  A large bucket whose members share few parts with anyone
     # holds texts that have a passage in common, and is split by another dealing of their sets.
@@ -318,10 +340,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     held = multi.join(common, "node").groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.avg("share").alias("share"))
     large = held.filter((F.col("m") > REFINE_ABOVE) & (F.col("share") < REFINE_BELOW)).select("key")
     if large.limit(1).count():
-        rows = multi.join(large, "key").join(texts.select("node", "text"), "node").select("key", "node", "text")
-        finer = _multi(rows.mapInArrow(_refiner(width, percent), "key long, node long"))
+        rows = stage.write(multi.join(large, "key").join(texts.select("node", "text"), "node").select("key", "node", "text"), "large")
+        finer = _multi(stage, rows, functools.partial(_refiner, width, percent), "finer")
         multi = stage.write(multi.join(large, "key", "left_anti").unionByName(finer), "refined")
-        stage.drop("multi")
+        stage.drop("multi", "finer", "large")
 
     popular = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop"))
     elect = multi.join(popular, "node").groupBy("key").agg(F.max_by("node", F.struct("pop", "node")).alias("hub"))
@@ -330,7 +352,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     hubs = star.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
     sized = star.groupBy("hub").agg(F.count(F.lit(1)).alias("m"))
     placed = rank_in_group(star, ["hub"], F.col("node"), "place")
-    blocks = placed.withColumn("block", F.floor(F.col("place") / F.lit(BLOCK)).cast("int")).join(sized, "hub")
+    blocks = attach_by_key(placed.withColumn("block", F.floor(F.col("place") / F.lit(BLOCK)).cast("int")), sized, ["hub"], star.count(), "m")
     last = F.floor((F.col("m") - 1) / F.lit(BLOCK)).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), last), lambda o: F.struct(F.least("block", o).alias("lb"), F.greatest("block", o).alias("rb"), F.when(F.col("block") <= o, 0).otherwise(1).alias("side"))))
     spread = blocks.select("hub", "node", pair.alias("p")).select("hub", "node", "p.lb", "p.rb", "p.side")
@@ -341,10 +363,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     roots = connected_components(found.filter(F.col("b").isNotNull()).select("a", "b"), stage, "cc")
     degree = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(degree, "node", "left")
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    verdict = stage.write(named.join(smallest, "root").select("node", "component_id", "copies", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
-    stage.drop("found", "star", "refined", "multi")
+    smallest = named.groupBy("root").agg(F.min("least").alias("top"))
+    verdict = stage.write(named.join(smallest, "root").select("node", "top", "copies", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
+    stage.drop("found", "star", "refined", "multi", "classes")
     total = signed.count()
     # Texts without a shingle share no class; they stay out of the join, where they'd be one hot key.
     out = attach_by_key(signed.filter("n_shingles > 0"), verdict, ["node"], total, "copies").unionByName(signed.filter("n_shingles = 0"), allowMissingColumns=True)
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    own = ["doc_id", "n_shingles", F.coalesce("top.doc_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")]
+    return out.select(*own, *([F.col("row").alias(row_col), F.coalesce(F.col("top.row") == F.col("row"), F.lit(True)).alias("first")] if row_col else []))

@@ -272,16 +272,46 @@ def test_exact_groups(spark, memtable):
     assert len(got) == len(texts)
 
 
+def test_exact_groups_with_repeated_rows(spark):
+    """One row of a group stays, whatever ids its rows have."""
+    rows = [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (None, "a"), (2, None), (2, ""), (3, "c"), (4, "c"), (4, "c")]
+    docs = spark.createDataFrame([(i, t, n, "x", -1) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row long, digest string, keep_id int")
+    for row_col in (None, "row"):
+        got = exact_dedup.exact_groups(spark, docs, row_col=row_col, memtable=2).collect()
+        kept = sorted(((r.doc_id is None, r.doc_id), r.keep_id, r.group_size) for r in got if r.kept)
+        assert kept == [((False, 1), 1, 3), ((False, 2), 2, 2), ((False, 4), 4, 3), ((True, None), None, 2)] and len(got) == len(rows)
+    assert {r.row for r in got if r.kept} == {1, 3, 6, 9}
+
+
+def test_differing_texts_are_found(spark):
+    docs = spark.createDataFrame([("d", "x")] * 500 + [("e", "y"), ("e", "z")], "digest string, text string").repartition(3)
+    assert [r[0] for r in exact_dedup._verify(docs).collect()] == ["e"]
+
+
+def test_filters_lose_no_key(spark):
+    from orthoscape.llm import staging
+
+    rows = spark.range(5000).select("id", F.concat(F.lit("t"), "id").alias("text"))
+    gone = rows.filter("id % 7 = 3").select("id")
+    for bits in (1 << 26, 1 << 12):
+        f = staging.key_filter(gone.select(F.xxhash64("id").alias("h")), "h", bits)
+        passed = {r[0] for r in rows.filter(f.column(F.xxhash64("id"))).select("id").collect()}
+        assert {i for i in range(5000) if i % 7 == 3} <= passed and len(passed) < 5000
+    assert sorted(r[0] for r in staging.without_rows(rows, gone, "id").collect()) == [i for i in range(5000) if i % 7 != 3]
+    assert staging.without_rows(rows, gone.limit(0), "id").count() == 5000
+
+
 def test_digest_index_compacts():
     rng = np.random.default_rng(4)
     digest = rng.integers(0, 3, (500, 4)).astype(np.uint64)
     ids = rng.permutation(500)
     index = exact_dedup.Index(memtable=20, fanout=3)
     for a in range(0, 500, 7):
-        index.add(digest[a : a + 7], ids[a : a + 7], np.ones(len(digest[a : a + 7]), np.int64))
+        index.add(digest[a : a + 7], ids[a : a + 7], -ids[a : a + 7], np.ones(len(digest[a : a + 7]), np.int64))
     index.flush()
     assert len(index.runs) <= 4
-    d, keep, count = index.compacted()
+    d, keep, row, count = index.compacted()
+    assert (row == -keep).all()
     want = collections.defaultdict(list)
     for x, i in zip(map(tuple, digest.tolist()), ids.tolist(), strict=True):
         want[x].append(i)
