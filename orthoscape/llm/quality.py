@@ -112,20 +112,22 @@ def train(sample: DataFrame, epochs: int = 3) -> np.ndarray:
     return model.table()
 
 
-def _scorer(weights):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = weights.value
-        for batch in batches:
-            out = [np.zeros(0)]
-            for words in word_chunks(batch.column(batch.num_columns - 1), classes=TOKEN):
-                f, offsets = features(words)
-                total = np.concatenate([[0.0], np.cumsum(table[f], dtype=np.float64)])
-                n = np.diff(offsets)
-                margin = (total[offsets[1:]] - total[offsets[:-1]]) * (SCALE / np.maximum(n, 1)) + float(table[-1])
-                out.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out), pa.float64())], [*batch.schema.names[:-1], "score"])
-
-    return score
+def scores(weights, column: pa.Array) -> np.ndarray:
+    """Scores of a column of texts, by sparse dot products with the broadcast weights."""
+    table, out = weights.value, [np.zeros(0)]
+    for words in word_chunks(column, classes=TOKEN):
+        f, offsets = features(words)
+        total = np.concatenate([[0.0], np.cumsum(table[f], dtype=np.float64)])
+        n = np.diff(offsets)
+        margin = (total[offsets[1:]] - total[offsets[:-1]]) * (SCALE / np.maximum(n, 1)) + float(table[-1])
+        out.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+    return np.concatenate(out)
+
+
+def quality_score(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELLED) -> Column:
+    """The score (0 to 1) of each row of docs as a column, learnt as in ``quality_scores``: rows need no join with it."""
+    weights = spark.sparkContext.broadcast(train(labelled_sample(docs, labels, "quality", 3, 1, most, id_col, text_col)))
+    return F.arrow_udf(lambda text: pa.array(scores(weights, text)), "double")(F.col(text_col))
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELLED) -> DataFrame:
@@ -137,7 +139,6 @@ def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_c
     labels every score is 0.5.  Repeated rows score alike; other columns are
     ignored; an empty table gives no rows.
     """
-    weights = spark.sparkContext.broadcast(train(labelled_sample(docs, labels, "quality", 3, 1, most, id_col, text_col)))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, 3, 1).alias("held_out"), F.col(text_col).alias("text"))
-    scored = base.mapInArrow(_scorer(weights), "doc_id long, held_out boolean, score double")
+    score = quality_score(spark, docs, labels, id_col, text_col, most)
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, 3, 1).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

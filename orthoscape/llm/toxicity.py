@@ -13,22 +13,27 @@ rows.
 
 from __future__ import annotations
 
+import collections
 import math
+import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import Ftrl, held_out, labelled_sample
-from .words import WORD, Words, mix, word_chunks
+from .words import CHUNK_BYTES, WORD, Words, mix, word_chunks
 
 BITS = 20
 MAX_LABELLED = 6000
 THRESHOLD = 0.3
 CACHED = 200_000
+#: Cost of a letter that repeats the one before and isn't meant.
+SQUEEZED = 0.3
 #: Letters of a stem: words that begin alike share a feature.
 STEM = 5
 
@@ -39,10 +44,12 @@ SEPARATORS = ".-_* "
 _BASE = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(0xDF, 0x180) if chr(c).islower()} | {"ß": "s", "ø": "o"}
 ACCENTED, PLAIN = ("".join(x) for x in zip(*((c, p) for c, p in _BASE.items() if p.isascii()), strict=True))
 _FOLD = str.maketrans(ACCENTED, PLAIN)
-#: Letters outside the alphabets that are told apart.
-OTHER = "?"
+#: The letter for those outside the alphabets that are told apart.
+OTHER = "\u0294"
 _ALPHABETS = r"a-z\u0370-\u052F"
 
+_REPEATED = re.compile(r"(.)\1+", re.DOTALL)
+
 LETTER = np.zeros(256, np.uint8)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 #: Bytes of tokens: 1 letters, 2 look-alikes, 3 separators, 0 what else.
@@ -91,26 +98,58 @@ class CharModel:
         found = self.cost.get(context + letter)
         return found if found is not None else self.rare.get(context, -3.3)
 
+    def word(self, word: str) -> float:
+        """The log-probability of a whole word."""
+        padded, total, cost = f"^^{word}$", 0.0, self.cost
+        for i in range(len(padded) - 2):
+            found = cost.get(padded[i : i + 3])
+            total += found if found is not None else self.rare.get(padded[i : i + 2], -3.3)
+        return total
+
+    def doubled(self, word: str, at: int) -> bool:
+        """Whether a word is likelier with its letter ``at`` twice, as it stands, than once: only trigrams there differ."""
+        w, i = f"^^{word}$", at + 2
+        twice = [w[i - 1 : i + 2], w[i : i + 3], w[i + 1 : i + 4]]
+        once = [w[i - 1 : i + 1] + w[i + 2], w[i] + w[i + 2 : i + 4]]
+        cost, rare, total = self.cost, self.rare, SQUEEZED
+        for grams, sign in ((twice, 1), (once, -1)):
+            for g in grams:
+                if len(g) == 3:
+                    found = cost.get(g)
+                    total += sign * (found if found is not None else rare.get(g[:2], -3.3))
+        return total >= 0
+
 
 def _options(text: str, i: int, squeeze: bool) -> list[tuple[str, float]]:
     """Letters that the i-th sign can stand for, each with its channel log-probability; a blank is a border of words."""
     c = text[i]
-    if c.isalpha() or c == OTHER:
+    if c.isalpha():
         out = [(c, 0.0)]
         if squeeze and i and text[i - 1] == c:
-            out.append(("", -0.3))
+            out.append(("", -SQUEEZED))
         return out
     if c == " ":
         return [("", -0.2), (" ", -0.2)]
     if c in LOOKALIKE:
         out = [(x, -0.5 - 0.3 * k) for k, x in enumerate(LOOKALIKE[c])]
         if squeeze and i and text[i - 1] == c:
-            out.append(("", -0.3))
+            out.append(("", -SQUEEZED))
         out.append(("", -6.0))
         return out
     return [("", -0.2 if c in SEPARATORS else -4.0)]
 
 
+def _squeezed(word: str, most: int = 16) -> list[str]:
+    """All spellings of a word of letters with repeated ones left out; none if there are over ``most``."""
+    out = [word]
+    for m in reversed(list(_REPEATED.finditer(word))):
+        a, b = m.span()
+        out = [w[:a] + w[a + k :] for w in out for k in range(b - a)]
+        if len(out) > most:
+            return []
+    return out
+
+
 def decode(token: str, model: CharModel, squeeze: bool = True) -> str:
     """The likeliest words for a token of any length, by Viterbi; states are the last two letters of a word.
 
@@ -119,6 +158,14 @@ def decode(token: str, model: CharModel, squeeze: bool = True) -> str:
     doubled ones are common.
     """
     text = folded(token)
+    if text.isalpha():
+        if not squeeze:
+            return text
+        if few := _squeezed(text):
+            if len(few) == 2:
+                at = _REPEATED.search(text).start()
+                return few[0] if model.doubled(text, at) else few[1]
+            return max(few, key=lambda w: model.word(w) + SQUEEZED * len(w)) if len(few) > 1 else text
     best: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
     for i in range(len(text)):
         ahead: dict[str, tuple[float, tuple | None]] = {}
@@ -147,23 +194,27 @@ def _disguised(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, text) of stretches whose lattice has more than one path.
 
     These are tokens with a letter and a look-alike, a separator or a repeated
-    letter, tokens of three look-alikes or more, and runs of two or more tokens
+    letter, tokens of three look-alikes or more that aren't numbers, and runs of two or more tokens
     of one sign each.
     """
     data, kind = words.data, _KIND[words.data]
-    at = np.zeros(len(data) + 1, np.int64)
-    letters, alike, signs, doubled = (at.copy() for _ in range(4))
+    letters, alike, signs, doubled, digits = np.zeros((5, len(data) + 1), np.int32)
     np.cumsum(kind == 1, out=letters[1:])
+    np.cumsum((data >= 48) & (data <= 57), out=digits[1:])
     np.cumsum(kind == 2, out=alike[1:])
     np.cumsum(kind == 3, out=signs[1:])
     if len(data) > 1:
         np.cumsum(((data[1:] | 32) == (data[:-1] | 32)) & (kind[1:] == 1) & (kind[:-1] == 1), out=doubled[2:])
     a, b = words.start, words.end
-    n, m, inner = letters[b] - letters[a], alike[b] - alike[a], signs[b] - signs[a]
-    if len(a):  # signs at the end of a token are punctuation
-        inner = inner - (kind[b - 1] == 3) - ((kind[a] == 3) & (b - a > 1))
+    n, m, inner = letters[b] - letters[a], alike[b] - alike[a], np.zeros(len(a), np.int64)
+    strong = np.flatnonzero((kind == 1) | (kind == 2))
+    some = np.flatnonzero(signs[b] > signs[a])
+    if len(some) and len(strong):  # signs at the ends of a token are punctuation
+        i, j = np.searchsorted(strong, a[some]), np.searchsorted(strong, b[some])
+        some, i, j = some[i < j], i[i < j], j[i < j]
+        inner[some] = signs[strong[j - 1]] - signs[strong[i]]
     twice = doubled[b] - doubled[np.minimum(a + 1, b)]
-    index = np.flatnonzero(((n > 0) & ((m > 0) | (inner > 0) | (twice > 0))) | ((m > 2) & (n == 0)))
+    index = np.flatnonzero(((n > 0) & ((m > 0) | (inner > 0) | (twice > 0))) | ((m > 2) & (n == 0) & (digits[b] - digits[a] < m)))
     start, end = a[index], b[index]
     single = (b - a == 1) & (kind[a] > 0) & (kind[a] < 3) if len(a) else np.zeros(0, bool)
     near = np.zeros(len(single), bool)
@@ -192,42 +243,83 @@ def _stems(letters: Words) -> np.ndarray:
     return out
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 class Restorer:
     """Hashes of the distinct words of restored texts, and of their stems."""
 
     def __init__(self, model: CharModel):
         self.model, self.known = model, {}
 
-    def _words(self, raw: bytes) -> tuple[int, ...]:
-        if raw not in self.known:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            token = raw.decode("utf-8", "replace")
-            plain = token.rstrip("!$|+.-_*,;:?\"')").lstrip("+.-_*,;:?\"'(|")
-            restored = {decode(x, self.model, squeeze) for x in {token, plain} if x for squeeze in (True, False)}
-            hashes: set[int] = set()
-            for words in word_chunks(pa.array(sorted(restored - {""})), lower=True, classes=LETTER):
-                hashes.update(words.hash.tolist(), _stems(words).tolist())
-            self.known[raw] = tuple(sorted(hashes))
-        return self.known[raw]
+    def _restored(self, raw: bytes) -> set[str]:
+        """Readings of a stretch: with repeated letters squeezed or not, with one or two signs at its end as letters or as punctuation."""
+        token = raw.decode("utf-8", "replace")
+        plain = token.rstrip("!$|+.-_*,;:?\"')").lstrip("+.-_*,;:?\"'(|")
+        tail = token[token.rfind(plain) + len(plain) :].rstrip(".-_*,;:?\"')") if plain else token
+        meant = bool(tail) and (len(tail) < 3 or not plain)
+        if not meant and plain.isalpha():
+            made = decode(plain, self.model)
+            return set() if made == plain.lower() else {made}  # as it stands, it is a word of the text already
+        out = set()
+        for x in {plain, token} if meant else {plain}:
+            out.add(decode(x, self.model))
+            if not x.isalpha():  # letters alone are their own reading
+                out.add(decode(x, self.model, False))
+        return out
+
+    def _learn(self, raws: list[bytes]) -> None:
+        """Decode new stretches, and hash the words of all of them at once."""
+        if len(self.known) + len(raws) > CACHED:
+            self.known.clear()
+        spelled, owner = [], []
+        for raw in raws:
+            for x in self._restored(raw):
+                spelled.append(x)
+                owner.append(raw)
+        found: dict[bytes, set[int]] = {raw: set() for raw in raws}
+        for words in word_chunks(pa.array(spelled, pa.string()), lower=True, classes=LETTER):
+            hashes, stems, o = words.hash.tolist(), _stems(words).tolist(), words.offsets.tolist()
+            for d in range(words.hi - words.lo):
+                found[owner[words.lo + d]].update(hashes[o[d] : o[d + 1]], stems[o[d] : o[d + 1]])
+        self.known.update((raw, tuple(h)) for raw, h in found.items())
 
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         for words in word_chunks(column, classes=WORD):
             letters = Words(words.lo, words.hi, words.data, words.bounds, True, LETTER)
             stems = _stems(letters)
-            extra: dict[int, list[int]] = {}
+            extra: dict[int, set[int]] = {}
             start, end, doc = _disguised(words)
             data = words.data.tobytes() if len(start) else b""
-            for a, b, d in zip(start.tolist(), end.tolist(), doc.tolist(), strict=True):
-                extra.setdefault(d, []).extend(self._words(data[a:b]))
+            raws = [data[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+            known = self.known
+            if new := list(dict.fromkeys(r for r in raws if r not in known)):
+                if len(known) + len(new) > CACHED:
+                    new = list(dict.fromkeys(raws))
+                self._learn(new)
+            for raw, d in zip(raws, doc.tolist(), strict=True):
+                extra.setdefault(d, set()).update(known[raw])
             o = letters.offsets
-            yield words.lo, [np.unique(np.concatenate([letters.hash[o[d] : o[d + 1]], stems[o[d] : o[d + 1]], np.array(extra.get(d, []), np.uint64)])) for d in range(words.hi - words.lo)]
+            yield words.lo, [_distinct(np.concatenate([letters.hash[o[d] : o[d + 1]], stems[o[d] : o[d + 1]], np.fromiter(extra.get(d, ()), np.uint64)])) for d in range(words.hi - words.lo)]
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+_restorers: dict[str, Restorer] = {}
+
+
+def _restorer(shared, name: str) -> Restorer:
+    """The process's restorer of a broadcast model, kept from task to task."""
+    if name not in _restorers:
+        _restorers.clear()
+        _restorers[name] = Restorer(shared.value)
+    return _restorers[name]
+
+
 def _extractor(shared):
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(shared.value)
@@ -239,19 +331,61 @@ def _extractor(shared):
     return extract
 
 
-def folded_words(text: Column) -> Column:
-    """The words of a text in lower case without accents; letters of other alphabets become one sign."""
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
-    found = F.regexp_extract_all(plain, F.lit(r"(?<![\p{L}\p{N}])\p{L}+(?![\p{L}\p{N}])"), F.lit(0))
-    return F.transform(found, lambda w: F.regexp_replace(w, f"[^{_ALPHABETS}]", OTHER))
+def _classes() -> np.ndarray:
+    """Class of each code point: 1-26 letters as folded, 27 other letters, 30 and up the other alphabets', 29 digits, 0 the rest."""
+    out = np.zeros(0x10000, np.int32)
+    for c in range(0x10000):
+        sign = folded(chr(c))[:1]
+        if "a" <= sign <= "z":
+            out[c] = ord(sign) - 96
+        elif sign.isalpha():
+            out[c] = ord(sign) - 0x370 + 30 if _known(sign) else 27
+        elif sign.isalnum():
+            out[c] = 29
+    return out
+
+
+_CLASSES = _classes()
+_START, _END, _FEW = 28, 29, 30
+
+
+def _letter(c: int) -> str:
+    return OTHER if c == 27 else chr(c + 96) if c < 27 else "^" if c == _START else chr(c - 30 + 0x370)
+
+
+def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the trigrams of a task's words: runs of letters and digits without a digit, folded, as ``^^word$``."""
+    few, more = np.zeros(_FEW**3, np.int64), collections.Counter()
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        size = np.cumsum([len(t or "") for t in texts])
+        for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(size // CHUNK_BYTES)) + 1):
+            points = np.frombuffer(" ".join(texts[i] or "" for i in group).encode("utf-32-le", "replace"), np.uint32)
+            kind = np.concatenate([[0, 0], np.where(points < 0x10000, _CLASSES[np.minimum(points, 0xFFFF)], 27), [0]]).astype(np.int32)
+            run = kind > 0
+            number = np.cumsum(run[1:] & ~run[:-1])
+            digit = np.bincount(number[kind[1:] == 29], minlength=number[-1] + 1) > 0
+            kind[1:][digit[number]] = 0
+            x, before, first = kind[2:], kind[1:-1], kind[:-2]
+            p1 = np.where(before > 0, before, _START)
+            p2 = np.where((before > 0) & (first > 0), first, _START)
+            for at, last in ((np.flatnonzero(x > 0), x), (np.flatnonzero((x == 0) & (before > 0)), np.full(len(x), _END, np.int32))):
+                a, b, c = p2[at], p1[at], last[at]
+                plain = np.maximum(np.maximum(a, b), c) < _FEW
+                few += np.bincount((a[plain] * _FEW + b[plain]) * _FEW + c[plain], minlength=_FEW**3)
+                codes, counts = np.unique((a[~plain] * 512 + b[~plain]).astype(np.int64) * 512 + c[~plain], return_counts=True)
+                more.update(dict(zip(codes.tolist(), counts.tolist(), strict=True)))
+    spelled = {(i // _FEW**2, i // _FEW % _FEW, i % _FEW): int(few[i]) for i in np.flatnonzero(few).tolist()}
+    spelled |= {(i >> 18, i >> 9 & 511, i & 511): n for i, n in more.items()}
+    if spelled:
+        grams = [_letter(a) + _letter(b) + ("$" if c == _END else _letter(c)) for a, b, c in spelled]
+        yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(list(spelled.values()), pa.int64())], ["g", "n"])
 
 
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
-    """A model of all words of docs; what is collected is bounded by the alphabets."""
-    words = docs.select(F.explode(folded_words(F.col(text_col))).alias("w"))
-    padded = words.groupBy("w").count().select(F.concat(F.lit("^^"), "w", F.lit("$")).alias("p"), "count")
-    grams = padded.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - 2), lambda i: F.substring("p", i, 3))).alias("g"), "count")
-    return CharModel.of_trigrams({r[0]: r[1] for r in grams.groupBy("g").agg(F.sum("count")).collect()})
+    """A model of all words of docs; what tasks send and the driver collects is bounded by the alphabets."""
+    grams = docs.select(text_col).mapInArrow(_trigrams, "g string, n long")
+    return CharModel.of_trigrams({r[0]: r[1] for r in grams.groupBy("g").agg(F.sum("n")).collect()})
 
 
 def train(spark: SparkSession, docs: DataFrame, sample: DataFrame, text_col: str = "text", epochs: int = 4):
@@ -268,8 +402,10 @@ def train(spark: SparkSession, docs: DataFrame, sample: DataFrame, text_col: str
 
 
 def _scorer(shared, weights):
+    name = uuid.uuid4().hex
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore, table = Restorer(shared.value), weights.value
+        restore, table = _restorer(shared, name), weights.value
         for batch in batches:
             out: list[float] = []
             for _, texts in restore(batch.column(2)):

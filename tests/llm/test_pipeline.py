@@ -52,6 +52,53 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert docs2.count() <= docs.count()
 
 
+def test_odd_rows(spark, tmp_path):
+    """Repeated and null ids, nulls, equal rows and clashing columns: each stage keeps one row of a group, whole."""
+    docs, labels, _ = corpus(spark, 60)
+    rows = docs.filter("doc_id < 20").collect()
+    near = rows[5].text + " tail"
+    odd = [tuple(rows[3]), tuple(rows[3]), (None, rows[4].text, *rows[4][2:]), (None, None, *rows[4][2:]), (None, None, *rows[4][2:]), (3, near, *rows[5][2:]), (None, near + " x", *rows[5][2:]), (7, "", *rows[7][2:]), (7, " ", None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame([*map(tuple, docs.collect()), *odd], docs.schema).withColumn("_place", F.lit("p")).withColumn("slot", F.col("doc_id")).withColumn("row", F.lit(1))
+    docs = docs.withColumnRenamed("_place", "place")
+    all_rows = sorted(map(repr, docs.collect()))
+    exact = cp.dedup_exact(spark, docs, "").collect()
+    by = collections.defaultdict(list)
+    for r in docs.collect():
+        by[r.text or ""].append(r)
+    assert sorted(r.text or "" for r in exact) == sorted(by) and {repr(r) for r in exact} <= set(all_rows)
+    for r in exact:
+        ids = [x.doc_id for x in by[r.text or ""] if x.doc_id is not None]
+        assert r.doc_id == max(ids, default=None)
+    kept = spark.createDataFrame(exact, docs.schema)
+    groups = collections.defaultdict(list)
+    for i, (_, root, _) in brute_components([r.text for r in exact], cp.WIDTH, cp.PERCENT).items():
+        groups[root].append(exact[i])
+    out = cp.dedup_near(spark, kept, "").collect()
+    want = [min(g, key=lambda r: (r.doc_id is None, r.doc_id or 0)).doc_id for g in groups.values()]
+    assert sorted(repr(r.doc_id) for r in out) == sorted(map(repr, want))
+    mixed = cp.mix(spark, kept, "").collect()
+    assert sorted(map(repr, mixed)) == sorted(map(repr, exact))
+    packed = cp.pack_sequences(spark, kept, "").collect()
+    assert sorted(repr(r.doc_id) for r in packed) == sorted(repr(r.doc_id) for r in exact)
+
+
+def test_empty_table(spark, tmp_path):
+    docs, labels, _ = corpus(spark, 4)
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_are_judged_by_themselves(spark, tmp_path):
+    """A bad row goes though a good one has its id."""
+    docs, labels, truth = corpus(spark, 300)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    bad = next(t[0] for t in truth if not t[1])
+    twin = docs.filter(F.col("doc_id") == bad).withColumn("doc_id", F.lit(next(t[0] for t in truth if t[1])).cast("long"))
+    text = twin.first().text
+    assert text not in {r.text for r in cp.classify(spark, docs.unionByName(twin), str(tmp_path)).collect()}
+
+
 def test_mix_takes_effect(spark, tmp_path):
     docs, _, _ = corpus(spark, 100)
     from orthoscape.llm.mixing import mix_sources
