@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
-kept; all but the last return the columns of documents.
+kept; all but the last return the columns of documents.  Rows are told apart by
+their place in the staged files, not by their ids: repeated and null ids, nulls
+in any column, repeated rows and empty tables go through like any others.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from pyspark.sql import functions as F
 
 from orthoscape.llm.exact_dedup import exact_groups
 from orthoscape.llm.jaccard_join import jaccard_components
-from orthoscape.llm.mixing import mix_sources
+from orthoscape.llm.mixing import mix_sources, output_names
 from orthoscape.llm.packing import pack
-from orthoscape.llm.quality import quality_scores
-from orthoscape.llm.staging import Stage
+from orthoscape.llm.quality import quality_score
+from orthoscape.llm.staging import Stage, without_rows
 
 WIDTH, PERCENT = 5, 80
 #: Target weights of sources; None are those of mix_sources.
@@ -23,27 +25,28 @@ WEIGHTS: dict[str, float] | None = None
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; each row is scored by itself."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = quality_scores(spark, docs, labels).filter("predicted = 1").select("doc_id").distinct()
-    return _kept(docs, good)
+    return docs.filter(quality_score(spark, docs, labels) >= 0.5)
 
 
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _kept(docs, exact_groups(spark, docs).filter("kept").select("doc_id").distinct())
+    """One row of each group of equal texts: that with the largest id, the last of those that have it."""
+    placed = _with_place(spark, docs)
+    return _without(spark, placed, exact_groups(spark, placed, row_col="_place").filter("not kept")).select(*docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each component of near copies."""
-    found = jaccard_components(spark, docs, width=WIDTH, percent=PERCENT)
-    return _kept(docs, found.filter("doc_id = component_id").select("doc_id").distinct())
+    """One row, that with the smallest id, the first of those that have it, of each component of near copies."""
+    placed = _with_place(spark, docs)
+    found = jaccard_components(spark, placed, row_col="_place", width=WIDTH, percent=PERCENT)
+    return _without(spark, placed, found.filter("not first")).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix; files and rows follow it."""
-    mixed = mix_sources(spark, docs, WEIGHTS)
-    return mixed.repartitionByRange(F.col("mix_position")).sortWithinPartitions("mix_position").select(*docs.columns)
+    mixed, names = mix_sources(spark, docs, WEIGHTS), output_names(docs.columns)
+    return mixed.repartitionByRange(F.col("mix_position")).sortWithinPartitions("mix_position").select(*[F.col(f"`{names[c]}`").alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +65,9 @@ def _with_place(spark: SparkSession, docs: DataFrame) -> DataFrame:
         return Stage(spark, "ordered").write(docs, "docs").withColumn("_place", place)
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """All rows of docs that have one of the ids; a null id has none."""
-    return docs.join(ids.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+def _without(spark: SparkSession, placed: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of placed whose places aren't in gone."""
+    return without_rows(placed, Stage(spark, "gone").write(gone.select("_place"), "rows"), "_place")
 
 
 STAGES = [
