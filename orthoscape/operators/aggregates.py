@@ -105,7 +105,7 @@ def hull(points: np.ndarray) -> np.ndarray:
     def half(order):
         out: list = []
         for q in order:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 0:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 1e-12:
                 out.pop()
             out.append(q)
         return out[:-1]

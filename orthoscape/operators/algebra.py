@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.rng import shuffle_key
 
 
-MAX_DATASETS = 10_000
-
-
 def concatenated(parts: list[tuple[str, DataFrame]], local: str = "local") -> DataFrame:
     """All rows with (dataset, local, index): index is the dataset's offset plus the local index.
 
@@ -24,16 +21,19 @@ def concatenated(parts: list[tuple[str, DataFrame]], local: str = "local") -> Da
     return out
 
 
-def locate(queries: DataFrame, sizes: DataFrame, index: str = "index") -> DataFrame:
+def locate(queries: DataFrame, sizes: DataFrame, index: str = "index", pieces: int = 4096) -> DataFrame:
     """Which dataset a global index falls into, and the local index there; indices past the end give no row.
 
-    sizes has one row a dataset, at most ``MAX_DATASETS``, and is broadcast.
+    sizes has one row a dataset, any number of them.  All indices are cut into
+    ``pieces`` cells; a dataset is entered in the cells that it covers, so both
+    sides meet by an equi join.
     """
-    if sizes.limit(MAX_DATASETS + 1).count() > MAX_DATASETS:
-        raise ValueError(f"more than {MAX_DATASETS} datasets")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    cell = max(1, -(-total // pieces))
     w = Window.orderBy("dataset")
-    spans = sizes.withColumn("_end", F.sum("size").over(w)).withColumn("_start", F.col("_end") - F.col("size"))
-    hit = queries.join(F.broadcast(spans), (F.col(index) >= F.col("_start")) & (F.col(index) < F.col("_end")))
+    spans = sizes.withColumn("_end", F.sum("size").over(w)).withColumn("_start", F.col("_end") - F.col("size")).filter("size > 0")
+    cells = spans.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_start") / cell), F.floor((F.col("_end") - 1) / cell))))
+    hit = queries.withColumn("_cell", F.floor(F.col(index) / cell)).join(cells, "_cell").filter((F.col(index) >= F.col("_start")) & (F.col(index) < F.col("_end")))
     return hit.select(*queries.columns, "dataset", (F.col(index) - F.col("_start")).alias("local"))
 
 

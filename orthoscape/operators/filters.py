@@ -102,20 +102,17 @@ def with_default(frame: Column, scene: Column) -> Column:
     return F.coalesce(frame, scene)
 
 
-MAX_RULES = 100_000
-
-
 def assign_splits(scenes: DataFrame, rules: DataFrame) -> DataFrame:
     """(dataset, scene, split) by the first rule that matches; a rule may name several splits or none.
 
-    rules: dataset, rule_order, kind (all, prefix, name), pattern, splits; at
-    most ``MAX_RULES`` rows, which are broadcast.
+    rules: dataset, rule_order, kind (all, prefix, name), pattern, splits, any
+    number of them.  A scene is looked up under its name, each of its prefixes
+    and its dataset, so that rules are found by an equi join.
     """
-    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    s, r = scenes.alias("s"), F.broadcast(rules).alias("r")
-    hit = (F.col("s.dataset") == F.col("r.dataset")) & (
-        (F.col("r.kind") == "all") | ((F.col("r.kind") == "prefix") & F.col("s.scene").startswith(F.col("r.pattern"))) | ((F.col("r.kind") == "name") & (F.col("s.scene") == F.col("r.pattern")))
-    )
-    first = s.join(r, hit).groupBy("s.dataset", "s.scene").agg(F.min_by("r.splits", "r.rule_order").alias("splits"))
+    kind = lambda k, p: F.struct(F.lit(k).alias("kind"), p.alias("pattern"))
+    prefixes = F.transform(F.sequence(F.lit(0), F.length("scene")), lambda i: kind("prefix", F.substring(F.col("scene"), F.lit(1), i)))
+    keys = F.concat(F.array(kind("all", F.lit("")), kind("name", F.col("scene"))), prefixes)
+    asked = scenes.select("dataset", "scene").distinct().select("dataset", "scene", F.explode(keys).alias("k")).select("dataset", "scene", "k.kind", "k.pattern")
+    known = rules.withColumn("pattern", F.when(F.col("kind") == "all", "").otherwise(F.col("pattern")))
+    first = asked.join(known, ["dataset", "kind", "pattern"]).groupBy("dataset", "scene").agg(F.min_by("splits", "rule_order").alias("splits"))
     return first.select("dataset", "scene", F.explode("splits").alias("split"))

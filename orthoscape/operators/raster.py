@@ -195,26 +195,48 @@ def vignette(r: Column, r_max: Column, strength: float) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - strength * (r / r_max) * (r / r_max)))
 
 
-def rectified(df: DataFrame, key: str, k: tuple[float, float, float], rounds: int = 100, tolerance: float = 1e-6) -> DataFrame:
-    """ux, uy: undistorted normalised coordinates of x, y by fixed-point inversion, in Arrow batches."""
+def rectified(df: DataFrame, key: str, k: tuple[float, float, float], p: tuple[float, float] = (0.0, 0.0), rounds: int = 100, tolerance: float = 1e-9) -> DataFrame:
+    """ux, uy: undistorted normalised coordinates of x, y by fixed-point inversion, in Arrow batches.
+
+    Radial and tangential terms are those of ``brown_distortion``.  A point
+    that doesn't settle in ``rounds`` steps is null.
+    """
 
     @F.pandas_udf("struct<ux double, uy double>")
     def solve(x: pd.Series, y: pd.Series) -> pd.DataFrame:
         a, b = x.to_numpy(float), y.to_numpy(float)
-        ux, uy = a.copy(), b.copy()
+        ux, uy, gap = a.copy(), b.copy(), np.full(len(a), np.inf)
         for _ in range(rounds):
             r2 = ux * ux + uy * uy
             radial = 1 + r2 * (k[0] + r2 * (k[1] + r2 * k[2]))
-            nx, ny = a / radial, b / radial
-            done = max(np.abs(nx - ux).max(initial=0), np.abs(ny - uy).max(initial=0)) < tolerance
+            nx = (a - 2 * p[0] * ux * uy - p[1] * (r2 + 2 * ux * ux)) / radial
+            ny = (b - p[0] * (r2 + 2 * uy * uy) - 2 * p[1] * ux * uy) / radial
+            gap = np.maximum(np.abs(nx - ux), np.abs(ny - uy))
             ux, uy = nx, ny
-            if done:
+            if not (gap >= tolerance).any():
                 break
-        return pd.DataFrame({"ux": ux, "uy": uy})
+        lost = ~(gap < tolerance)
+        ux[lost], uy[lost] = np.nan, np.nan
+        return pd.DataFrame({"ux": pd.Series(ux).where(~lost, None), "uy": pd.Series(uy).where(~lost, None)})
 
     return df.withColumn("_u", solve("x", "y")).select(*df.columns, "_u.ux", "_u.uy")
 
 
+def rectified_image(image: DataFrame, key: str, value: str, fx: float, fy: float, cx: float, cy: float, k: tuple[float, float, float], p: tuple[float, float], height: int, width: int) -> DataFrame:
+    """(key, y, x, value, valid): the image without its lens distortion, on the grid of its own pixels.
+
+    A pixel of the result looks up, bilinearly, the place that distortion
+    moves it to; no inversion is needed in that direction.  Places outside the
+    image aren't valid and are null.
+    """
+    u, v = (F.col("x") - cx) / fx, (F.col("y") - cy) / fy
+    du, dv = brown_distortion(u, v, k, p)
+    at = image.select(key, F.col("y").alias("_j"), F.col("x").alias("_i"), (du * fx + cx).alias("u"), (dv * fy + cy).alias("v"))
+    inside = (F.col("u") >= 0) & (F.col("v") >= 0) & (F.col("u") <= width - 1) & (F.col("v") <= height - 1)
+    out = bilinear(image, at, [key], value)
+    return out.select(key, F.col("_j").alias("y"), F.col("_i").alias("x"), F.when(inside, F.col(value)).alias(value), inside.alias("valid"))
+
+
 def fuse(a: Column, b: Column) -> Column:
     """a where valid, else b where valid, else 0."""
     ok = lambda z: F.coalesce((z > 0) & ~F.isnan(z) & (z != float("inf")), F.lit(False))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,23 +45,33 @@ def islands(df: DataFrame, position: str, by: list[str], cap: int, out: str = "i
 
 
 def greedy_prune(df: DataFrame, by: list[str], order: str, position: list[str], angle: str, min_distance: float, min_angle: float) -> DataFrame:
-    """Keep a row that is farther than a distance or an angle from the last kept row of its group.
+    """(by, order) of the rows that are farther than a distance or an angle from the last kept row of their group.
 
-    The choice depends on the last kept row, so a group is folded in order;
-    (order, position, angle) structs are the only thing gathered.
+    The choice depends on the last kept row only, so groups are read as an
+    ordered Arrow stream that holds that row: one shuffle, and memory of one
+    batch however long a group is.  A null or NaN position or angle is never
+    farther; a group's first row is always kept.
     """
-    item = F.struct(F.col(order).alias("o"), F.array(*[F.col(c).cast("double") for c in position]).alias("p"), F.col(angle).cast("double").alias("a"))
-    empty = F.expr("cast(array() as array<struct<o:bigint,p:array<double>,a:double>>)")
-
-    def step(kept: Column, x: Column) -> Column:
-        last = F.element_at(kept, -1)
-        apart = F.sqrt(F.aggregate(F.zip_with(x["p"], last["p"], lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
-        turn = F.abs(x["a"] - last["a"]) % 360
-        turn = F.least(turn, 360 - turn)
-        return F.when((F.size(kept) == 0) | (apart > min_distance) | (turn > min_angle), F.concat(kept, F.array(x))).otherwise(kept)
-
-    folded = df.groupBy(*by).agg(F.sort_array(F.collect_list(item)).alias("_l")).select(*by, F.aggregate("_l", empty, step).alias("_k"))
-    return folded.select(*by, F.explode("_k").alias("_x")).select(*by, F.col("_x.o").alias(order))
+    keys = [F.col(b) for b in by]
+    slim = df.select(*keys, F.col(order), *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate([*position, angle])])
+    kinds = dict(slim.dtypes)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = None, None
+        for batch in batches:
+            of = list(zip(*(batch.column(i).to_pylist() for i in range(len(by))), strict=True)) if by else [()] * batch.num_rows
+            at = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(by) + 1, batch.num_columns)])
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (g, p) in enumerate(zip(of, at, strict=True)):
+                if g == group:
+                    turn = abs(p[-1] - last[-1]) % 360
+                    if not (np.sqrt(((p[:-1] - last[:-1]) ** 2).sum()) > min_distance or min(turn, 360 - turn) > min_angle):
+                        continue
+                group, last, keep[i] = g, p, True
+            yield batch.select(list(range(len(by) + 1))).filter(pa.array(keep))
+
+    dealt = slim.repartition(*keys) if by else slim.coalesce(1)
+    return dealt.sortWithinPartitions(*keys, F.col(order)).mapInArrow(fold, ", ".join(f"`{c}` {kinds[c]}" for c in [*by, order]))
 
 
 def boustrophedon(df: DataFrame, by: list[str], lane: str, along: str, out: str = "step") -> DataFrame:

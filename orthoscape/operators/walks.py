@@ -116,49 +116,102 @@ def star(g: Graph, n: int, rng, low: float, high: float, k: int, temperature: fl
     return best
 
 
-def tolerances(values: np.ndarray, k: float = 3.0) -> float:
-    """Median plus k median absolute deviations."""
-    if not len(values):
-        return 0.0
-    mid = np.median(values)
-    return float(mid + k * np.median(np.abs(values - mid)))
-
-
-def directed_chain(g: Graph, n: int, t: dict[int, float], s: dict[int, float], start: int, low: float, high: float, k: int, max_turn: float = 75.0) -> list[int]:
-    """A strip: each step goes on in its direction along t, stays lateral in s, doesn't jump or turn sharply."""
-    ids = sorted(t)
-    steps = np.abs(np.diff(sorted(t.values())))
-    jump = max(tolerances(steps) * 4, 1e-9)
-    band = max(tolerances(np.abs(np.array([s[i] for i in ids]) - np.median([s[i] for i in ids]))), 1e-9)
-    walk, way = [start], 0.0
-    while len(walk) < n:
-        at, options = walk[-1], []
-        for b, w in g.near(at, low, high, k, set(walk)):
-            dt, ds = t[b] - t[at], s[b] - s[at]
-            if abs(s[b] - s[start]) > band or abs(dt) > jump or (way and dt * way <= 0):
-                continue
-            if np.degrees(np.arctan2(abs(ds), abs(dt) + 1e-12)) > max_turn:
-                continue
-            options.append((w + 1e-3 * abs(dt), -b))
-        if not options:
+def tolerance(values: list[float], k: float, floor: float) -> float:
+    """Median plus k median absolute deviations, at least ``floor``."""
+    mid = float(np.median(values))
+    return max(mid + k * float(np.median(np.abs(np.asarray(values) - mid))), floor)
+
+
+def _turn(a: np.ndarray, b: np.ndarray) -> float:
+    """Degrees between two steps."""
+    cos = float(a @ b) / ((float(np.linalg.norm(a)) + EPS) * (float(np.linalg.norm(b)) + EPS))
+    return float(np.degrees(np.arccos(max(-1.0, min(1.0, cos)))))
+
+
+def directed_chain(g: Graph, n: int, rng, centres: dict[int, np.ndarray], t: dict[int, float], s: dict[int, float], least: float, start: int | None = None, gone: set[int] | None = None, max_turn: float = 75.0, tries: int = 4) -> list[int]:
+    """A strip of up to n views: the longest of the tries, each of which leaves out what earlier ones walked.
+
+    A step goes along an edge of weight ``least`` or more.  It stays within a
+    lateral band of the start and a jump along t, both estimated from the
+    start's neighbours; it keeps its direction along t once that is set by the
+    first candidate that moves; and it turns by at most ``max_turn`` from the
+    step before.  The strongest edge goes first, with a little for progress.
+    """
+    out: list[int] = []
+    banned = set(gone or ())
+    for _ in range(tries):
+        free = [x for x in g.nodes if x not in banned and x in t]
+        if not free:
             break
-        b = -max(options)[1]
-        way = way or float(np.sign(t[b] - t[at]))
-        walk.append(b)
-    return walk
+        first = start if start is not None and start not in banned else int(free[rng.integers(len(free))])
+        near = [b for b, w in g.rows.get(first, {}).items() if w >= least]
+        band = tolerance([abs(s[b] - s[first]) for b in near], 4.0, 1e-3) if near else np.inf
+        jump = tolerance([abs(t[b] - t[first]) for b in near], 6.0, 1e-3) if near else np.inf
+        walk, seen, way, before = [first], banned | {first}, 0.0, None
+        while len(walk) < n:
+            at, options = walk[-1], []
+            for b, _ in sorted(g.rows.get(at, {}).items(), key=lambda x: (-x[1], x[0])):
+                w, dt = g.weight(at, b), t[b] - t[at]
+                if b in seen or w < least or abs(s[b] - s[first]) > band or abs(dt) > jump:
+                    continue
+                if not way:
+                    way = float(np.sign(dt)) if abs(dt) > 1e-6 else 0.0
+                elif way * dt < -1e-6:
+                    continue
+                if before is not None and _turn(centres[at] - centres[before], centres[b] - centres[at]) > max_turn:
+                    continue
+                options.append((w + 1e-3 * abs(dt), -b))
+            if not options:
+                break
+            before, at = at, -max(options)[1]
+            walk.append(at)
+            seen.add(at)
+        out = max(out, walk, key=len)
+        if len(out) >= n:
+            break
+        banned |= set(walk)
+    return out
+
 
+def paired_strip(g: Graph, first: list[int], t: dict[int, float], s: dict[int, float], cross: float, along: float, gone: set[int] | None = None, starts: int = 8) -> list[int]:
+    """A second strip beside the first, in its order along t: the longest from several starts.
 
-def paired_strip(g: Graph, first: list[int], t: dict[int, float], s: dict[int, float], cross: float) -> list[int]:
-    """A second strip beside the first: for each view the best unused partner across."""
+    For each view of the first strip it takes the best unused partner of cross
+    weight ``cross`` or more that is joined to its own last view by ``along``
+    or more, keeps within a lateral band of its start, lies near the view along
+    t and doesn't go back.  A view without any partner is skipped; one whose
+    partners all fail ends the strip.
+    """
+    banned = {*first, *(gone or ())}
+    partners = [{b: g.weight(a, b) for b in sorted(g.rows.get(a, {})) if b not in banned and g.weight(a, b) >= cross} for a in first]
+    pool = sorted({b for p in partners for b in p})
+    if not pool:
+        return []
+    spread = np.array([s[b] for b in pool])
+    band = max(4.0 * float(np.median(np.abs(spread - np.median(spread)))), 1e-3)
+    steps = np.abs(np.diff([t[a] for a in first]))
+    window = max(tolerance(list(steps), 6.0, 0.0), 1e-3) if len(steps) else np.inf
+    heads = sorted(partners[0], key=lambda b: (-partners[0][b], b)) or sorted(pool, key=lambda b: (abs(t[b] - t[first[0]]), b))
     out: list[int] = []
-    for a in first:
-        options = [(w + 0.5 * (abs(s[b] - s[a]) > 1e-9) - 0.05 * abs(t[b] - t[a]), -b) for b, w in g.near(a, cross, 2.0, 10**6, {*first, *out})]
-        if options:
-            out.append(-max(options)[1])
+    for head in heads[:starts]:
+        strip = [head]
+        for a, options in zip(first[1:], partners[1:], strict=True):
+            if not options:
+                continue
+            last, scored = strip[-1], []
+            for b, w in options.items():
+                joint = g.weight(last, b)
+                if b in strip or (along > 0 and joint < along) or abs(s[b] - s[head]) > band or abs(t[b] - t[a]) > window or t[b] + 1e-6 < t[last]:
+                    continue
+                scored.append((w + (0.5 * joint if along > 0 else 0.0) - 0.05 * abs(t[b] - t[a]), -b))
+            if not scored:
+                break
+            strip.append(-max(scored)[1])
+        out = max(out, strip, key=len)
     return out
 
 
-def two_strips(g: Graph, n: int, rng, centres: dict[int, np.ndarray], low: float, high: float, k: int, cross: float, pair_ratio: float = 0.7, tries: int = 12) -> list[int]:
+def two_strips(g: Graph, n: int, rng, centres: dict[int, np.ndarray], least: float, cross: float, pair_ratio: float = 0.7, tries: int = 12) -> list[int]:
     """Two parallel strips of about n / 2 views; the best paired try, padded with its last view."""
     ids = sorted(centres)
     p = np.array([centres[i][:2] for i in ids], float)
@@ -167,16 +220,17 @@ def two_strips(g: Graph, n: int, rng, centres: dict[int, np.ndarray], low: float
     t, s = ({i: float(x) for i, x in zip(ids, p @ axes[j], strict=True)} for j in (0, 1))
     n1 = -(-n // 2)
     best: tuple[float, list[int], list[int]] = (-1.0, [], [])
-    nodes = [x for x in g.nodes if x in t]
-    for _ in range(tries if nodes else 0):
-        first = sorted(directed_chain(g, n1, t, s, int(nodes[rng.integers(len(nodes))]), low, high, k), key=lambda i: t[i])
-        second = sorted(paired_strip(g, first, t, s, cross), key=lambda i: t[i])
+    for _ in range(tries):
+        first = sorted(directed_chain(g, n1, rng, centres, t, s, least), key=lambda i: t[i])
+        if not first:
+            break
+        second = paired_strip(g, first, t, s, cross, least)
         if not second:
-            share, second = 0.0, []
+            share = 0.0
         else:
             second = [second[int(np.rint(i * (len(second) - 1) / max(1, n - n1 - 1)))] for i in range(n - n1)]
             at = [second[int(np.rint(i / max(1, len(first) - 1) * (len(second) - 1)))] for i in range(len(first))]
-            share = float(np.mean([g.rows.get(a, {}).get(b, 0.0) >= cross for a, b in zip(first, at, strict=True)]))
+            share = float(np.mean([g.weight(a, b) >= cross for a, b in zip(first, at, strict=True)]))
         if (share, len(first)) > (best[0], len(best[1])):
             best = (share, first, second)
         if best[0] >= pair_ratio and len(best[1]) == n1:
@@ -199,8 +253,10 @@ def farthest_points(position: np.ndarray, direction: np.ndarray, k: int, scale:
     return sorted(chosen)
 
 
-def sample_walks(edges: DataFrame, samples: DataFrame, walk: Callable[[Graph, int, np.random.Generator], list[int]], n: int, seed: int) -> DataFrame:
-    """(scene, sample, step, view) of one walk for each row (scene, sample) of samples.
+def sample_walks(edges: DataFrame, samples: DataFrame, walk: Callable[..., list[int]], n: int, seed: int, own_start: bool = False) -> DataFrame:
+    """(scene, sample, step, view) of one walk(graph, n, rng) for each row (scene, sample) of samples.
+
+    With own_start the walk is given the sample, too, as the view to start from.
 
     Samples of a scene go to tasks in lots of 64, each with its scene's edges.
     The random state of a sample follows from (seed, scene, sample) only.
@@ -212,7 +268,7 @@ def sample_walks(edges: DataFrame, samples: DataFrame, walk: Callable[[Graph, in
         g, rows = Graph(graph["src"], graph["dst"], graph["w"]), []
         for scene, sample in zip(own["scene"], own["sample"], strict=True):
             state = int.from_bytes(hashlib.md5(f"{seed}|{scene}|{sample}".encode()).digest()[:8], "big")
-            rows += [(scene, sample, i, v) for i, v in enumerate(walk(g, n, np.random.default_rng(state)))]
+            rows += [(scene, sample, i, v) for i, v in enumerate(walk(g, n, np.random.default_rng(state), *([int(sample)] if own_start else [])))]
         return pd.DataFrame(rows, columns=["scene", "sample", "step", "view"]).astype({"scene": "int64", "sample": "int64", "step": "int64", "view": "int64"})
 
     return lots.groupBy("scene", "lot").cogroup(use.groupBy("of_scene", "of_lot")).applyInPandas(run, "scene long, sample long, step long, view long")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.frustum import touching_spheres
+
 
 def strongest(edges: DataFrame, k: int, least: float, by: list[str] | None = None) -> DataFrame:
     """The k strongest edges of each source with at least the least weight, and their rank; ties to the smaller dst."""
@@ -12,19 +16,33 @@ def strongest(edges: DataFrame, k: int, least: float, by: list[str] | None = Non
     return edges.filter(F.col("w") >= least).withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
+PAIR_BLOCK = 256
+
+
 def shared_point_edges(observations: DataFrame, view: str, point: str, denominator: str = "target") -> DataFrame:
     """Directed edges between views by the points they share.
 
     observations: view, point (repeats count once).  A point's views are
-    gathered once and its pairs made inside the row, so the pairs are
-    combined to counts before the shuffle by pair; a view's size is joined on.
+    gathered once, and its pairs made inside rows, so that they are combined to
+    counts before the shuffle by pair.  A point that many views see is dealt in
+    pairs of blocks of ``PAIR_BLOCK`` views first, each a row of its own that
+    any task can take.  A view's size is joined on.
     """
-    seen = observations.select(F.col(view).alias("v"), F.col(point).alias("p")).distinct()
-    size = seen.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    left, right = seen.alias("a"), seen.alias("b")
-    pairs = left.join(right, F.col("a.p") == F.col("b.p")).filter("a.v <> b.v").groupBy(F.col("a.v").alias("src"), F.col("b.v").alias("dst")).agg(F.count(F.lit(1)).alias("shared"))
+    seen = observations.select(F.col(view).alias("v"), F.col(point).alias("p")).filter("v IS NOT NULL AND p IS NOT NULL")
+    lists = seen.groupBy("p").agg(F.sort_array(F.collect_set("v")).alias("vs"))
+    size = lists.select(F.explode("vs").alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    small = lists.filter(F.size("vs") <= PAIR_BLOCK).select("vs", F.posexplode("vs").alias("i", "a"))
+    small = small.select("a", F.explode(F.slice("vs", F.col("i") + 2, PAIR_BLOCK)).alias("b"))
+    large = lists.filter(F.size("vs") > PAIR_BLOCK).withColumn("last", F.floor((F.size("vs") - 1) / PAIR_BLOCK).cast("int"))
+    large = large.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("last")))).withColumn("y", F.explode(F.sequence(F.col("x"), F.col("last"))))
+    block = lambda i: F.slice("vs", F.col(i) * PAIR_BLOCK + 1, PAIR_BLOCK)
+    dealt = large.select("p", "x", "y", block("x").alias("left"), block("y").alias("right")).repartition("p", "x", "y")
+    hot = dealt.select(F.explode("left").alias("a"), "right").select("a", F.explode("right").alias("b")).filter("a < b")
+    pairs = small.unionByName(hot).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    both = F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst"))))
+    edges = pairs.select(both.alias("e"), "shared").select("e.src", "e.dst", "shared")
     over = "dst" if denominator == "target" else "src"
-    return pairs.join(size.withColumnRenamed("v", over), over).select("src", "dst", "shared", (F.col("shared") / F.greatest("n", F.lit(1))).alias("w"))
+    return edges.join(size.withColumnRenamed("v", over), over).select("src", "dst", "shared", (F.col("shared") / F.greatest("n", F.lit(1))).alias("w"))
 
 
 def projected(point: tuple[Column, Column, Column], world_to_cam: list[Column], fx: Column, fy: Column, cx: Column, cy: Column) -> tuple[Column, Column, Column]:
@@ -35,18 +53,41 @@ def projected(point: tuple[Column, Column, Column], world_to_cam: list[Column],
     return fy * y / safe + cy, fx * x / safe + cx, z
 
 
-def depth_covisibility(pixels: DataFrame, cameras: DataFrame, pairs: DataFrame, absolute: float = 0.2, relative: float = 0.02, temperature: float = 0.0, min_depth: float = 0.04, denominator: str = "full") -> DataFrame:
+def overlapping_views(pixels: DataFrame, cameras: DataFrame, absolute: float = 0.2, relative: float = 0.02) -> DataFrame:
+    """Ordered candidate pairs (scene, src, dst): all of which any pixel of src can be confirmed in dst.
+
+    A view's sphere holds its points and its frustum up to the largest depth
+    that its pixels can confirm.  Views whose spheres don't touch share
+    nothing; the others meet by grid cells as wide as their scene's largest sphere.
+    """
+    seen = F.when((F.col("z") > 0) & ~F.isnan("z") & (F.col("z") != float("inf")), F.col("z")).otherwise(0.0)
+    top = pixels.groupBy("scene", "view").agg(F.max(seen).alias("z"))
+    reach = (F.col("z") + absolute) / (1 - relative)
+    j = cameras.join(top, ["scene", "view"]).withColumn("_d", reach)
+    side = lambda c, n: F.greatest(F.abs(-1 - F.col(c)), F.abs(F.col(n) + 1 - F.col(c))) / F.col(f"f{c[1]}")
+    wide = F.sqrt(side("cx", "w") * side("cx", "w") + side("cy", "h") * side("cy", "h") + 1)
+    m = [F.get("m", F.lit(i)) for i in (3, 7, 11)]
+    spheres = j.select("scene", "view", *[c.alias(n) for c, n in zip(m, "xyz", strict=True)], (F.col("_d") * wide).alias("r"))
+    cells = spheres.groupBy("scene").agg((2 * F.max("r")).alias("cell"))
+    near = touching_spheres(spheres.join(cells, "scene"), "scene", F.col("cell"))
+    return near.unionByName(near.select("scene", F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
+def depth_covisibility(pixels: DataFrame, cameras: DataFrame, pairs: DataFrame | None = None, absolute: float = 0.2, relative: float = 0.02, temperature: float = 0.0, min_depth: float = 0.04, denominator: str = "full") -> DataFrame:
     """Edges (scene, src, dst, w): the share of src's pixels whose depth dst confirms.
 
     pixels: scene, view, row, col, z.  cameras: scene, view, fx, fy, cx, cy, h,
     w, m (camera to world, row by row) and inv (its inverse).  pairs: scene,
-    src, dst candidates.  Each valid pixel of src is unprojected, projected
+    src, dst candidates; without them, those of ``overlapping_views``.  Each valid pixel of src is unprojected, projected
     into dst, and looked up there by an equi join on the rounded pixel; counts
     are combined before they are shuffled.
     """
+    if pairs is None:
+        pairs = overlapping_views(pixels, cameras, absolute - math.log(0.5) * temperature, relative)
     a = cameras.select("scene", F.col("view").alias("src"), *[F.col(c).alias(f"a_{c}") for c in ("fx", "fy", "cx", "cy", "m")])
     b = cameras.select("scene", F.col("view").alias("dst"), *[F.col(c).alias(f"b_{c}") for c in ("fx", "fy", "cx", "cy", "h", "w", "inv")])
-    own = pixels.filter("z > 0").withColumnRenamed("view", "src").join(a, ["scene", "src"])
+    finite = (F.col("z") > 0) & ~F.isnan("z") & (F.col("z") != float("inf"))
+    own = pixels.filter(finite).withColumnRenamed("view", "src").join(a, ["scene", "src"])
     cam = ((F.col("col") - F.col("a_cx")) * F.col("z") / F.col("a_fx"), (F.col("row") - F.col("a_cy")) * F.col("z") / F.col("a_fy"), F.col("z"))
     m = [F.get("a_m", i) for i in range(16)]
     world = [(m[4 * i] * cam[0] + m[4 * i + 1] * cam[1] + m[4 * i + 2] * cam[2] + m[4 * i + 3]).alias(n) for i, n in enumerate(("wx", "wy", "wz"))]

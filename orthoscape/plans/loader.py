@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ranges
 from ..operators import walks
 from ..operators.raster import unproject
 
@@ -33,6 +35,48 @@ def config(defaults: dict, overrides: dict) -> Loader:
     return Loader(**merged)
 
 
+def parsed_settings(text: str) -> dict:
+    """Settings of a YAML (or JSON) text; an empty one has none, anything but a map is an error."""
+    import yaml
+
+    out = yaml.safe_load(text) or {}
+    if not isinstance(out, dict):
+        raise ValueError(f"settings must be a map, not a {type(out).__name__}")
+    return out
+
+
+def command_line(words: list[str], checks: dict[str, Callable]) -> dict:
+    """Settings given as ``--name value`` or ``--name=value``; dashes and underscores are the same.
+
+    checks: the reader of each known name; a boolean one may stand alone, or
+    with ``no-`` before its name.  Unknown names and bad values are errors.
+    """
+    out, rest = {}, list(words)
+    while rest:
+        name, given, value = rest.pop(0).partition("=")
+        if not name.startswith("--"):
+            raise ValueError(f"not a setting: {name}")
+        name = name[2:].replace("-", "_")
+        if not given and name.startswith("no_") and checks.get(name[3:]) is ranges.boolean:
+            out[name[3:]] = False
+            continue
+        if name not in checks:
+            raise ValueError(f"unknown setting: {name}")
+        if not given:
+            alone = not rest or rest[0].startswith("--")
+            if alone and checks[name] is not ranges.boolean:
+                raise ValueError(f"{name} needs a value")
+            value = "true" if alone else rest.pop(0)
+        out[name] = checks[name](value)
+    return out
+
+
+def settings(defaults: dict, text: str, words: list[str], checks: dict[str, Callable]) -> dict:
+    """defaults, then those of a text, then the command line: the later ones win; null counts for nothing."""
+    read = {k.replace("-", "_"): v for k, v in parsed_settings(text).items()}
+    return defaults | {k: v for k, v in read.items() if v is not None} | command_line(words, checks)
+
+
 def sampled_views(loader: Loader, edges: DataFrame, samples: DataFrame, views: int, seed: int) -> DataFrame:
     """(scene, sample, step, view) by the loader's mode; short samples are filled with their own views in turn."""
     rule = {

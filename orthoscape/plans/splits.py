@@ -172,6 +172,16 @@ def public_rules() -> list[Rule]:
     ]
 
 
+def real_rules(dataset: str) -> list[Rule]:
+    """Rules of a real set under its name: some places are validated and tested, the rest trains."""
+    return [*prefixed(dataset, REAL_TEST_PREFIXES, ["val", "test"]), *all_of(dataset, ["train"])]
+
+
+def ambiguity_rules(dataset: str) -> list[Rule]:
+    """Rules of a set for the ambiguity of field of view and height, under its name: it is only tested."""
+    return listed(dataset, AMBIGUITY_TEST, ["test"])
+
+
 def rule_table(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:
     return spark.createDataFrame(public_rules() if rules is None else rules, "dataset string, rule_order int, kind string, pattern string, splits array<string>")
 

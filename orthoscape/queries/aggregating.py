@@ -176,7 +176,11 @@ def polygon(spark, sf):
     return agg.polygon(centres(spark, sf), ["label"], "vec_id", "x", "y").select("label", F.round("area", 6).alias("area"), F.round("cx", 4).alias("cx"))
 
 
-@query("D25_convex_hull")
+@query("D25_convex_hull", f"""WITH p AS MATERIALIZED (SELECT DISTINCT label::BIGINT AS label, round(x * 1000)::BIGINT AS x, round(y * 1000)::BIGINT AS y FROM {_POINTS}),
+ e AS (SELECT a.label, a.x, a.y FROM p a JOIN p b ON a.label = b.label AND (a.x <> b.x OR a.y <> b.y) WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.label = a.label AND ((b.x-a.x)*(c.y-a.y) - (b.y-a.y)*(c.x-a.x) < 0
+  OR ((b.x-a.x)*(c.y-a.y) - (b.y-a.y)*(c.x-a.x) = 0 AND (c.x-a.x)*(c.x-b.x) + (c.y-a.y)*(c.y-b.y) > 0)))),
+ m AS (SELECT *, avg(x) OVER w AS mx, avg(y) OVER w AS my, count(*) OVER w AS n FROM e WINDOW w AS (PARTITION BY label)), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY atan2(y - my, x - mx)) AS r, row_number() OVER (PARTITION BY label ORDER BY x, y) AS first FROM m),
+ f AS (SELECT label, r AS r0 FROM r WHERE first = 1) SELECT r.label, ((r - r0 + n) % n)::INT AS i, x / 1000.0::DOUBLE AS x, y / 1000.0::DOUBLE AS y FROM r JOIN f ON f.label = r.label""")
 def convex_hull(spark, sf):
     return agg.convex_hulls(centres(spark, sf), "label", "x", "y")
 

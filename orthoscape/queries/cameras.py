@@ -75,13 +75,13 @@ def inverse_upper(spark, sf):
 
 
 def pose_pairs(spark, sf):
-    """Pairs of poses of a scene up to 40 ids apart, a and b."""
+    """All pairs of poses of a scene, a and b."""
     p = poses(spark, sf)
     a, b = (p.select("label", *[F.col(c).alias(f"{s}_{c}") for c in ("vec_id", "qx", "qy", "qz", "qw", "x", "y", "z", "m")]) for s in "ab")
-    return a.join(b, "label").filter("a_vec_id < b_vec_id AND b_vec_id - a_vec_id <= 40")
+    return a.join(b, "label").filter("a_vec_id < b_vec_id")
 
 
-_PAIR = f"{_R} a JOIN {_R} b ON a.label = b.label AND a.vec_id < b.vec_id AND b.vec_id - a.vec_id <= 40"
+_PAIR = f"{_R} a JOIN {_R} b ON a.label = b.label AND a.vec_id < b.vec_id"
 
 
 @query("I06_relative_pose", f"SELECT a.vec_id AS i, b.vec_id AS j, round(a.r00*b.r00 + a.r10*b.r10 + a.r20*b.r20, 6) AS r00, round(a.r01*(b.x-a.x) + a.r11*(b.y-a.y) + a.r21*(b.z-a.z), 6) AS ty FROM {_PAIR}")
@@ -182,7 +182,7 @@ def yaw_pitch(spark, sf):
     return _rounded(table(spark, sf, "supplier"), ["s_suppkey"], dict(zip("xyz", v, strict=True)))
 
 
-@query("K01_frustum_corners", "SELECT p_partkey, [round(-0.5 * 320 / p_retailprice, 6), round(-0.5 * 240 / p_retailprice, 6), 0.5] AS first, [round(-(1.0 + p_size) * 320 / p_retailprice, 6), round((1.0 + p_size) * 240 / p_retailprice, 6), 1.0 + p_size]::DOUBLE[] AS last FROM part")
+@query("K01_frustum_corners", "SELECT p_partkey, [round(0.5 * 320 / p_retailprice, 6), round(0.5 * 240 / p_retailprice, 6), 0.5] AS first, [round((1.0 + p_size) * 320 / p_retailprice, 6), round(-(1.0 + p_size) * 240 / p_retailprice, 6), 1.0 + p_size]::DOUBLE[] AS last FROM part")
 def frustum_corners(spark, sf):
     f = F.col("p_retailprice")
     c = frustum.corners(f, f, F.lit(320.0), F.lit(240.0), F.lit(0.5), 1.0 + F.col("p_size"))
@@ -190,12 +190,12 @@ def frustum_corners(spark, sf):
     return table(spark, sf, "part").select("p_partkey", r(0).alias("first"), r(7).alias("last"))
 
 
-_BOX = f"(SELECT label AS scene, vec_id AS view, x * 4 AS x, y * 4 AS y, z * 4 AS z FROM {_POINTS} WHERE vec_id % 4 = 0)"
+_BOX = f"(SELECT label AS scene, vec_id AS view, x * 4.0013::DOUBLE AS x, y * 4.0017::DOUBLE AS y, z * 4.0007::DOUBLE AS z FROM {_POINTS})"
 
 
 def frustums(spark, sf):
-    """Frustums along z from points: near 0.2, far 1, half-widths as deep as wide."""
-    p = centres(spark, sf).filter("vec_id % 4 = 0").select(F.col("label").alias("scene"), F.col("vec_id").alias("view"), *[(F.col(c) * 4).alias(c) for c in "xyz"])
+    """Frustums along z from points: near 0.2, far 1, half-widths as deep as wide; scaled so that none just touch."""
+    p = centres(spark, sf).select(F.col("label").alias("scene"), F.col("vec_id").alias("view"), *[(F.col(c) * k).alias(c) for c, k in zip("xyz", (4.0013, 4.0017, 4.0007), strict=True)])
     one = F.lit(1.0)
     c = frustum.corners(one, one, one, one, F.lit(0.2), one)
     moved = F.transform(c, lambda v: F.array(F.get(v, F.lit(0)) + F.col("x"), F.get(v, F.lit(1)) + F.col("y"), F.get(v, F.lit(2)) + F.col("z")))

@@ -181,3 +181,22 @@ def view_class(spark, sf):
 def name_class(spark, sf):
     name = F.concat("p_name", F.when(F.col("p_size") % 3 == 0, "_nadir").when(F.col("p_size") % 3 == 1, "_oblique").otherwise("_nadir_2"))
     return table(spark, sf, "part").select("p_partkey", role_of_name(name).alias("role"))
+
+
+@query("B14_settings", "SELECT 'root' AS name, 'cli' AS value UNION ALL SELECT 'topk', '7' UNION ALL SELECT 'min_covis', '0.1' UNION ALL SELECT 'overwrite', 'True' UNION ALL SELECT 'target_size', '224'")
+def merged_settings(spark, sf):
+    """Defaults, a settings text and a command line, the later ones first."""
+    from ..functions import ranges
+    from ..plans.loader import settings
+
+    checks = {"root": str, "topk": ranges.positive_int, "overwrite": ranges.boolean}
+    got = settings({"root": "a", "topk": 50, "min_covis": 0.25, "overwrite": False, "target_size": 224}, "root: b\nmin_covis: 0.1\ntarget_size:\n", ["--root=cli", "--topk", "7", "--overwrite"], checks)
+    return spark.createDataFrame([(k, str(v)) for k, v in got.items()], "name string, value string")
+
+
+@query("N07_ranges", "SELECT p_partkey, CASE WHEN p_size - 10 > 0 THEN (p_size - 10)::DOUBLE END AS positive, CASE WHEN p_size / 25.0::DOUBLE <= 1 THEN p_size / 25.0::DOUBLE END AS share, CASE WHEN p_size * 7 < 179 THEN (p_size * 7)::DOUBLE END AS fov FROM part")
+def ranges_of_text(spark, sf):
+    from ..functions.ranges import in_range
+
+    s, inf = F.col("p_size"), float("inf")
+    return table(spark, sf, "part").select("p_partkey", in_range((s - 10).cast("string"), 0, inf, low_open=True, whole=True).alias("positive"), in_range((s / F.lit(25.0)).cast("string"), 0, 1).alias("share"), in_range((s * 7).cast("string"), 0, 179, True, True).alias("fov"))

@@ -70,13 +70,13 @@ def waypoints(spark, sf):
 
 def quads(spark, sf):
     """Four-sided polygons from points: a box of varied sides, with one corner cut in."""
-    c = centres(spark, sf).filter("vec_id % 5 = 0").select("vec_id", (F.floor(F.col("x") * 10) + 20).alias("x"), (F.floor(F.col("y") * 10) + 20).alias("y"), (10 + F.col("vec_id") % 7).cast("double").alias("w"), (8 + F.col("vec_id") % 5).cast("double").alias("h"))
+    c = centres(spark, sf).select("vec_id", (F.floor(F.col("x") * 10) + 20).alias("x"), (F.floor(F.col("y") * 10) + 20).alias("y"), (10 + F.col("vec_id") % 7).cast("double").alias("w"), (8 + F.col("vec_id") % 5).cast("double").alias("h"))
     at = [(F.col("x"), F.col("y")), (F.col("x") + F.col("w"), F.col("y")), (F.col("x") + F.col("w") - 2, F.col("y") + F.col("h")), (F.col("x"), F.col("y") + F.col("h"))]
     p = F.posexplode(F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in at]))
     return c.select("vec_id", p.alias("i", "p")).select("vec_id", "i", "p.x", "p.y")
 
 
-_QUAD = f"(SELECT vec_id, floor(x * 10) + 20 AS x, floor(y * 10) + 20 AS y, (10 + vec_id % 7)::DOUBLE AS w, (8 + vec_id % 5)::DOUBLE AS h FROM {_POINTS} WHERE vec_id % 5 = 0)"
+_QUAD = f"(SELECT vec_id, floor(x * 10) + 20 AS x, floor(y * 10) + 20 AS y, (10 + vec_id % 7)::DOUBLE AS w, (8 + vec_id % 5)::DOUBLE AS h FROM {_POINTS})"
 
 
 @query("P03_lawnmower", f"""WITH q AS (SELECT vec_id, x, y, w, h, w >= h AS wide FROM {_QUAD}), l AS (SELECT *, k AS lane_no FROM q, range(0, 12) t(k)),
@@ -127,7 +127,12 @@ def retarget(spark, sf):
     return s.select("s_suppkey", "fov", F.round(same_footprint(F.lit(100.0), F.lit(60.0), F.col("fov")), 6).alias("height"))
 
 
-@query("P10_commit_views")
+@query("P10_commit_views", f"""WITH RECURSIVE c AS MATERIALIZED (SELECT label, vec_id, x, y, (vec_id * 37) % 360 AS a, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM {_POINTS} WHERE vec_id % 3 <> 0), e AS MATERIALIZED (SELECT x, y, (vec_id * 37) % 360 AS a FROM {_POINTS} WHERE vec_id % 3 = 0),
+ w AS (SELECT label, i, x, y, a, vec_id AS pick FROM c WHERE i = 1 UNION ALL
+  SELECT label, i, CASE WHEN far THEN nx ELSE x END, CASE WHEN far THEN ny ELSE y END, CASE WHEN far THEN na ELSE a END, CASE WHEN far THEN vec_id END FROM
+   (SELECT c.label, c.i, c.vec_id, w.x, w.y, w.a, c.x AS nx, c.y AS ny, c.a AS na, sqrt((c.x-w.x)*(c.x-w.x) + (c.y-w.y)*(c.y-w.y)) > 0.05 OR least(abs(c.a-w.a) % 360, 360 - abs(c.a-w.a) % 360) > 30 AS far FROM w JOIN c ON c.label = w.label AND c.i = w.i + 1)),
+ k AS (SELECT label, pick AS vec_id, x, y, a FROM w WHERE pick IS NOT NULL), f AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n FROM k WHERE NOT EXISTS (SELECT 1 FROM e WHERE sqrt((k.x-e.x)*(k.x-e.x) + (k.y-e.y)*(k.y-e.y)) <= 0.05 AND least(abs(k.a-e.a) % 360, 360 - abs(k.a-e.a) % 360) <= 30))
+ SELECT label, vec_id FROM f WHERE n <= 12""")
 def commit_views(spark, sf):
     p = centres(spark, sf).withColumn("a", F.col("vec_id") * 37 % 360)
     new, old = p.filter("vec_id % 3 <> 0"), p.filter("vec_id % 3 = 0")

@@ -45,7 +45,7 @@ def project(spark, sf):
     return grid(spark, sf).filter(F.abs("z") > 0.1).select("vec_id", "y", "x", F.round(col, 3).alias("col"))
 
 
-@query("J04_nearest_sample", f"WITH p AS {_P}, q AS (SELECT vec_id, greatest(0, least(7, round_even(x * 1.25 - 0.5, 0)::INT)) AS x, y, x AS k FROM p) SELECT q.vec_id, q.y, q.k, p.z FROM q JOIN p ON p.vec_id = q.vec_id AND p.y = q.y AND p.x = q.x")
+@query("J04_nearest_sample", f"WITH p AS MATERIALIZED {_P}, q AS MATERIALIZED (SELECT vec_id, greatest(0, least(7, round_even(x * 1.25 - 0.5, 0)::INT)) AS x, y, x AS k FROM p) SELECT q.vec_id, q.y, q.k, p.z FROM q JOIN p ON p.vec_id = q.vec_id AND p.y = q.y AND p.x = q.x")
 def nearest_sample(spark, sf):
     g = grid(spark, sf)
     q = g.select("vec_id", "y", F.col("x").alias("k"), ras.nearest_pixel(F.col("x") * 1.25 - 0.5, 8).alias("x"))
@@ -130,11 +130,11 @@ def dilate(spark, sf):
     return ras.dilate(g, ["vec_id"], "m", 1, 2)
 
 
-@query("J13_components", f"""WITH RECURSIVE p AS MATERIALIZED (SELECT vec_id, y, x FROM {_P} WHERE z > 1 AND vec_id < 40), e AS MATERIALIZED (SELECT a.vec_id, a.y * 100000 + a.x AS a, b.y * 100000 + b.x AS b FROM p a JOIN p b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+@query("J13_components", f"""WITH RECURSIVE p AS MATERIALIZED (SELECT vec_id, y, x FROM {_P} WHERE z > 1), e AS MATERIALIZED (SELECT a.vec_id, a.y * 100000 + a.x AS a, b.y * 100000 + b.x AS b FROM p a JOIN p b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
  r AS (SELECT vec_id, a, b FROM e UNION SELECT r.vec_id, r.a, e.b FROM r JOIN e ON e.vec_id = r.vec_id AND e.a = r.b), c AS (SELECT vec_id, a, min(b) AS component FROM r GROUP BY 1, 2)
  SELECT vec_id, (a // 100000)::INT AS y, (a % 100000)::INT AS x, component::BIGINT AS component, count(*) OVER (PARTITION BY vec_id, component) >= 4 AS kept FROM c""")
 def components(spark, sf):
-    g = grid(spark, sf).filter("vec_id < 40").withColumn("m", (F.col("z") > 1).cast("int"))
+    g = grid(spark, sf).withColumn("m", (F.col("z") > 1).cast("int"))
     return ras.components(g, "vec_id", "m", 4)
 
 
@@ -181,10 +181,21 @@ def vignette(spark, sf):
     return _r(grid(spark, sf).withColumn("z", F.col("z") * ras.vignette(F.sqrt(r2), F.lit(24.5**0.5), 0.5)), "z", n=5)
 
 
-@query("J18_rectify")
+@query("J18_rectify", f"""WITH RECURSIVE g AS MATERIALIZED (SELECT vec_id, (x - 3.5) / 6.0::DOUBLE AS x, (y - 3.5) / 6.0::DOUBLE AS y FROM {_P}), d AS (SELECT DISTINCT x, y FROM g),
+ s AS (SELECT x, y, x AS ux, y AS uy, 0 AS i FROM d UNION ALL SELECT x, y, (x - 0.002 * ux * uy - 0.002 * (r2 + 2 * ux * ux)) / (1 + r2 * (0.1 + r2 * 0.01)), (y - 0.001 * (r2 + 2 * uy * uy) - 0.004 * ux * uy) / (1 + r2 * (0.1 + r2 * 0.01)), i + 1 FROM (SELECT *, ux*ux + uy*uy AS r2 FROM s) WHERE i < 60)
+ SELECT g.vec_id, round(g.x, 6) + 0.0 AS x, round(g.y, 6) + 0.0 AS y, round(ux, 6) + 0.0 AS ux, round(uy, 6) + 0.0 AS uy FROM g JOIN s ON s.x = g.x AND s.y = g.y AND s.i = 60""")
 def rectify(spark, sf):
     g = grid(spark, sf).select("vec_id", ((F.col("x") - 3.5) / 6).alias("x"), ((F.col("y") - 3.5) / 6).alias("y"))
-    return ras.rectified(g, "vec_id", (0.1, 0.01, 0.0))
+    return _r(ras.rectified(g, "vec_id", (0.1, 0.01, 0.0), (0.001, 0.002)), "x", "y", "ux", "uy")
+
+
+@query("J18_rectified_image", f"""WITH p AS MATERIALIZED {_P}, n AS (SELECT *, u*u + v*v AS r2 FROM (SELECT vec_id, y, x, (x - 3.5) / 6.0::DOUBLE AS u, (y - 3.5) / 6.0::DOUBLE AS v FROM p)),
+ q AS MATERIALIZED (SELECT vec_id, y, x, (u * (1 + r2 * (0.1 + r2 * 0.01)) + 0.002 * u * v + 0.002 * (r2 + 2 * u * u)) * 6 + 3.5 AS u, (v * (1 + r2 * (0.1 + r2 * 0.01)) + 0.001 * (r2 + 2 * v * v) + 0.004 * u * v) * 6 + 3.5 AS v FROM n),
+ c AS (SELECT q.*, dy, dx, (CASE dy WHEN 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) * (CASE dx WHEN 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) AS w FROM q, range(0, 2) a(dy), range(0, 2) b(dx))
+ SELECT c.vec_id, c.y, c.x, u >= 0 AND v >= 0 AND u <= 7 AND v <= 7 AS valid, CASE WHEN u >= 0 AND v >= 0 AND u <= 7 AND v <= 7 THEN round(sum(w * coalesce(p.z, 0)), 5) + 0.0 END AS z FROM c LEFT JOIN p ON p.vec_id = c.vec_id AND p.y = floor(c.v) + c.dy AND p.x = floor(c.u) + c.dx GROUP BY c.vec_id, c.y, c.x, u, v""")
+def rectified_image(spark, sf):
+    out = ras.rectified_image(grid(spark, sf), "vec_id", "z", 6.0, 6.0, 3.5, 3.5, (0.1, 0.01, 0.0), (0.001, 0.002), 8, 8)
+    return _r(out, "z", n=5)
 
 
 @query("J19_distorted_points", f"SELECT vec_id, y, x, round(z * (u * (1 + r2 * 0.1)) + 1e-9, 5) AS px FROM (SELECT *, u*u + v*v AS r2 FROM (SELECT vec_id, y, x, z, (x - 3.5) / 6.0::DOUBLE AS u, (y - 3.5) / 6.0::DOUBLE AS v FROM {_P})) WHERE z > 0")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import functions as F
 
@@ -15,24 +16,26 @@ from .registry import query, table
 _U = "('0x' || substr(md5({}), 1, 13))::BIGINT::DOUBLE / 4503599627370496"
 
 
-@query("H01_batches", f"""WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('780|' || o_orderkey)) - 1 AS position FROM orders WHERE o_orderkey < 14976)
- SELECT o_orderkey, position, (position // (14976 // 4))::INT AS rank, position // 16 AS batch_no, floor({_U.format("'3|aspect|' || (position // 16)")} * 5)::INT AS aspect FROM r""")
+@query("H01_batches", f"""WITH t AS (SELECT count(*) // 64 * 64 AS size FROM orders), r AS (SELECT o_orderkey, size, row_number() OVER (ORDER BY md5('780|' || o_orderkey)) - 1 AS position FROM orders, t WHERE o_orderkey < size)
+ SELECT o_orderkey, position, (position // (size // 4))::INT AS rank, position // 16 AS batch_no, floor({_U.format("'3|aspect|' || (position // 16)")} * 5)::INT AS aspect FROM r""")
 def batches(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey")
-    return smp.batches(o, "o_orderkey", 15000, 16, 4, 3, {"aspect": 5}).filter("o_orderkey < 14976")
+    return smp.batches(o, "o_orderkey", o.count(), 16, 4, 3, {"aspect": 5})
 
 
-@query("H02_multi_feature", f"""WITH r AS (SELECT s_suppkey, row_number() OVER (ORDER BY md5('778|' || s_suppkey)) - 1 AS position FROM supplier WHERE s_suppkey < 96)
- SELECT s_suppkey, position, (position // 48)::INT AS rank, position // 8 AS batch_no, floor({_U.format("'1|aspect|' || (position // 8)")} * 5)::INT AS aspect, floor({_U.format("'1|views|' || (position // 8)")} * 3)::INT AS views FROM r""")
+@query("H02_multi_feature", f"""WITH t AS (SELECT count(*) // 8 * 8 AS size FROM supplier), r AS (SELECT s_suppkey, size, row_number() OVER (ORDER BY md5('778|' || s_suppkey)) - 1 AS position FROM supplier, t WHERE s_suppkey < size)
+ SELECT s_suppkey, position, (position // (size // 2))::INT AS rank, position // 4 AS batch_no, floor({_U.format("'1|aspect|' || (position // 4)")} * 5)::INT AS aspect, floor({_U.format("'1|views|' || (position // 4)")} * 3)::INT AS views FROM r""")
 def multi_feature(spark, sf):
-    return smp.batches(table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey", 100, 8, 2, 1, {"aspect": 5, "views": 3})
+    s = table(spark, sf, "supplier").select("s_suppkey")
+    return smp.batches(s, "s_suppkey", s.count(), 4, 2, 1, {"aspect": 5, "views": 3})
 
 
-@query("H03_dynamic_batches", f"""WITH p AS (SELECT b AS batch_no, [2, 4, 8][floor({_U.format("'5|views|' || b")} * 3)::INT + 1]::INT AS n_views FROM range(0, 936) t(b)), s AS (SELECT *, greatest(1, 32 // n_views) AS size FROM p), q AS (SELECT *, sum(size) OVER (ORDER BY batch_no ROWS UNBOUNDED PRECEDING) - size AS start FROM s),
- r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('782|' || o_orderkey)) - 1 AS position FROM orders WHERE o_orderkey < 15000)
- SELECT o_orderkey, position, batch_no, (batch_no % 2)::INT AS rank, n_views FROM r JOIN q ON position >= start AND position < start + size WHERE start + size <= 15000""")
+@query("H03_dynamic_batches", f"""WITH t AS (SELECT count(*) AS total FROM orders), p AS (SELECT b AS batch_no, [2, 4, 8][floor({_U.format("'5|views|' || b")} * 3)::INT + 1]::INT AS n_views FROM t, range(0, 10000000) g(b) WHERE b < total // 32 * 2), s AS (SELECT *, greatest(1, 32 // n_views) AS size FROM p), q AS (SELECT *, sum(size) OVER (ORDER BY batch_no ROWS UNBOUNDED PRECEDING) - size AS start FROM s),
+ r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('782|' || o_orderkey)) - 1 AS position FROM orders)
+ SELECT o_orderkey, position, batch_no, (batch_no % 2)::INT AS rank, n_views FROM r JOIN q ON position >= start AND position < start + size, t WHERE start + size <= total""")
 def dynamic_batches(spark, sf):
-    return smp.dynamic_batches(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 15000, 32, [2, 4, 8], 2, 5)
+    o = table(spark, sf, "orders").select("o_orderkey")
+    return smp.dynamic_batches(o, "o_orderkey", o.count(), 32, [2, 4, 8], 2, 5)
 
 
 @query("H04_view_counts", "SELECT s_suppkey, CASE WHEN n = 0 THEN 'uniform' WHEN n = 4 THEN 'permutation' WHEN n < 4 THEN 'with_replacement' ELSE 'graph' END AS how FROM (SELECT s_suppkey, s_suppkey % 9 AS n FROM supplier)")
@@ -43,10 +46,10 @@ def view_counts(spark, sf):
 
 
 @query("H05_neighbours", f"""WITH e AS {_KEPT}, m AS (SELECT a.src, a.dst, greatest(a.w, coalesce(b.w, 0)) AS w FROM e a LEFT JOIN e b ON a.src = b.dst AND a.dst = b.src),
- n AS (SELECT c.sample, m.src, m.dst, m.w FROM m JOIN (SELECT s_suppkey AS sample, s_suppkey AS src FROM supplier WHERE s_suppkey % 3 = 1) c ON m.src = c.src WHERE m.w >= 0.2 AND m.w < 0.29 - 1e-12::DOUBLE AND NOT m.dst = (c.sample * 7) % 100)
+ n AS (SELECT c.sample, m.src, m.dst, m.w FROM m JOIN (SELECT s_suppkey AS sample, s_suppkey AS src FROM supplier) c ON m.src = c.src WHERE m.w >= 0.2 AND m.w < 0.29 - 1e-12::DOUBLE AND NOT m.dst = (c.sample * 7) % 100)
  SELECT sample, src, dst, round(w, 6) AS w, rank FROM (SELECT *, row_number() OVER (PARTITION BY sample, src ORDER BY w DESC, dst) AS rank FROM n) WHERE rank <= 5""")
 def neighbours(spark, sf):
-    now = table(spark, sf, "supplier").filter("s_suppkey % 3 = 1").select(F.col("s_suppkey").alias("sample"), F.col("s_suppkey").alias("src"))
+    now = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sample"), F.col("s_suppkey").alias("src"))
     seen = now.select("sample", ((F.col("sample") * 7) % 100).alias("dst"))
     return smp.effective_neighbours(kept_edges(spark, sf), now, seen, 0.2, 0.29, 5).withColumn("w", F.round("w", 6))
 
@@ -68,13 +71,14 @@ def _graph(spark, sf):
     return kept_edges(spark, sf).withColumn("scene", F.lit(0).cast("long"))
 
 
-def _samples(spark, n=100):
-    return spark.range(n).select(F.lit(0).cast("long").alias("scene"), F.col("id").alias("sample"))
+def _samples(spark, sf):
+    """A sample for each view."""
+    return table(spark, sf, "supplier").select(F.lit(0).cast("long").alias("scene"), F.col("s_suppkey").cast("long").alias("sample"))
 
 
 def _walk(name, f):
     def run(spark, sf):
-        return walks.sample_walks(_graph(spark, sf), _samples(spark), f, 8, 7)
+        return walks.sample_walks(_graph(spark, sf), _samples(spark, sf), f, 8, 7)
 
     run.__name__ = name
     query(name)(run)
@@ -85,18 +89,6 @@ _walk("H09_random_walk", functools.partial(walks.random_walk, low=0.2, high=0.4,
 _walk("H11_tree", functools.partial(walks.tree, low=0.2, high=0.4, k=20))
 
 
-def _chain_each(edges, samples, n):
-    """The greedy chain from each sample's own start."""
-    import pandas as pd
-
-    def run(own, graph):
-        g = walks.Graph(graph["src"], graph["dst"], graph["w"])
-        rows = [(s, i, v) for s in own["sample"] for i, v in enumerate(walks.chain(g, n, int(s), 0.2, 0.29, 20))]
-        return pd.DataFrame(rows, columns=["sample", "step", "view"]).astype("int64")
-
-    return samples.groupBy("scene").cogroup(edges.groupBy("scene")).applyInPandas(run, "sample long, step long, view long")
-
-
 @query("H10_greedy_chain", f"""WITH RECURSIVE e AS MATERIALIZED {_KEPT}, m AS MATERIALIZED (SELECT a.src, a.dst, greatest(a.w, coalesce(b.w, 0)) AS w FROM e a LEFT JOIN e b ON a.src = b.dst AND a.dst = b.src),
  both_ AS MATERIALIZED (SELECT src, dst, max(w) AS w FROM (SELECT src, dst, w FROM e UNION ALL SELECT dst, src, w FROM e) GROUP BY 1, 2),
  near AS MATERIALIZED (SELECT * FROM (SELECT src, dst, w, row_number() OVER (PARTITION BY src ORDER BY w DESC, dst) AS r FROM m WHERE w >= 0.2 AND w < 0.29 - 1e-12::DOUBLE) WHERE r <= 20),
@@ -105,8 +97,10 @@ def _chain_each(edges, samples, n):
    AND (len(w.seen) < 2 OR NOT EXISTS (SELECT 1 FROM both_ b WHERE b.dst = n.dst AND list_contains(w.seen, b.src) AND b.w >= 0.29 - 1e-12::DOUBLE))) AS pick FROM walk w WHERE w.step < 7) WHERE pick IS NOT NULL)
  SELECT sample, step, view FROM walk""")
 def greedy_chain(spark, sf):
-    s = table(spark, sf, "supplier").select(F.lit(0).cast("long").alias("scene"), F.col("s_suppkey").alias("sample"))
-    return _chain_each(_graph(spark, sf), s, 8)
+    def chain(g, n, rng, sample):
+        return walks.chain(g, n, sample, 0.2, 0.29, 20)
+
+    return walks.sample_walks(_graph(spark, sf), _samples(spark, sf), chain, 8, 7, own_start=True).select("sample", "step", "view")
 
 
 @query("H12_mixture", f"SELECT s_suppkey, CASE WHEN u < 0.5 THEN 'walk' WHEN u < 0.75 THEN 'chain' WHEN u < 0.75 THEN 'tree' ELSE 'star' END AS mode FROM (SELECT s_suppkey, {_U.format(chr(39) + '11|' + chr(39) + ' || s_suppkey')} AS u FROM supplier)")
@@ -115,14 +109,24 @@ def mixture(spark, sf):
 
 
 def _strip_edges(spark, sf):
-    """Scenes of points, with weights that fall with distance."""
+    """Scenes of points, with weights that fall with distance; weaker ones than 0.05 aren't stored.
+
+    Near points meet by grid cells, not as a product of the scene.
+    """
+    from ..operators.frustum import touching_spheres
+
     c = centres(spark, sf).select(F.col("label").cast("long").alias("scene"), "vec_id", "x", "y")
-    a, b = (c.select("scene", *[F.col(n).alias(f"{s}{n}") for n in ("vec_id", "x", "y")]) for s in "ab")
-    d = F.sqrt((F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by")))
-    return a.join(b, "scene").filter("avec_id <> bvec_id").select("scene", F.col("avec_id").alias("src"), F.col("bvec_id").alias("dst"), F.exp(-3 * d).alias("w")), c
+    half = F.lit(math.log(20) / 6)  # two such reach where the weight is 0.05
+    near = touching_spheres(c.select("scene", F.col("vec_id").alias("view"), "x", "y", F.lit(0.0).alias("z"), half.alias("r")), "scene", 1.0)
+    a, b = (c.select("scene", F.col("vec_id").alias(k), F.col("x").alias(f"{k}x"), F.col("y").alias(f"{k}y")) for k in ("src", "dst"))
+    both = near.unionByName(near.select("scene", F.col("dst").alias("src"), F.col("src").alias("dst")))
+    j = both.join(a, ["scene", "src"]).join(b, ["scene", "dst"])
+    d = F.sqrt((F.col("srcx") - F.col("dstx")) * (F.col("srcx") - F.col("dstx")) + (F.col("srcy") - F.col("dsty")) * (F.col("srcy") - F.col("dsty")))
+    return j.select("scene", "src", "dst", F.exp(-3 * d).alias("w")), c
 
 
 def _strips(spark, sf, name):
+    """A strip of each scene; scenes are spread over tasks, as a walk needs the one before."""
     import numpy as np
     import pandas as pd
 
@@ -135,11 +139,11 @@ def _strips(spark, sf, name):
         t, s = ({i: float(at[i][j]) for i in ids} for j in (0, 1))
         rng = np.random.default_rng(int(points["scene"].iloc[0]))
         if name == "two":
-            views = walks.two_strips(g, 10, rng, at, 0.05, 0.99, 20, 0.3)
+            views = walks.two_strips(g, 10, rng, at, 0.05, 0.3)
         else:
-            views = walks.directed_chain(g, 6, t, s, ids[0], 0.05, 0.99, 20)
+            views = walks.directed_chain(g, 6, rng, at, t, s, 0.05, start=ids[0])
             if name == "paired":
-                views = walks.paired_strip(g, views, t, s, 0.3)
+                views = walks.paired_strip(g, sorted(views, key=lambda i: t[i]), t, s, 0.3, 0.05)
         return pd.DataFrame([(int(points["scene"].iloc[0]), i, v) for i, v in enumerate(views)], columns=["scene", "step", "view"]).astype("int64")
 
     e = e.select(F.col("scene").alias("of_scene"), "src", "dst", "w")

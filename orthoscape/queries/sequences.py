@@ -98,11 +98,11 @@ def resample(spark, sf):
     return p.join(want, ["label", "i"]).select("label", "k", "vec_id")
 
 
-@query("F02_topk_in_step", f"SELECT src, dst, rank FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY w DESC, dst) AS rank FROM {_EDGES} WHERE src % 7 = 3) WHERE rank <= 3")
+@query("F02_topk_in_step", f"SELECT src, dst, rank FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY w DESC, dst) AS rank FROM {_EDGES}) WHERE rank <= 3")
 def topk_in_step(spark, sf):
     from ..plans.covisibility import strongest
 
-    return strongest(edges(spark, sf).filter("src % 7 = 3"), 3, 0.0).select("src", "dst", "rank")
+    return strongest(edges(spark, sf), 3, 0.0).select("src", "dst", "rank")
 
 
 @query("F03_stable_sort", "SELECT s_suppkey, row_number() OVER (ORDER BY s_nationkey, s_name) - 1 AS place FROM supplier")
@@ -175,9 +175,11 @@ def repeat(spark, sf):
     return alg.repeated(table(spark, sf, "supplier").select("s_suppkey"), 3, "s_suppkey")
 
 
-@query("G04_resize", "WITH r AS (SELECT s_suppkey, row_number() OVER (ORDER BY md5('779|' || s_suppkey)) - 1 AS r, count(*) OVER () AS n FROM supplier) SELECT s_suppkey, k::INT AS repetition, k * n + r AS position FROM r, range(0, 3) t(k) WHERE k * n + r < 230")
+@query("G04_resize", "WITH r AS (SELECT s_suppkey, row_number() OVER (ORDER BY md5('779|' || s_suppkey)) - 1 AS r, count(*) OVER () AS n FROM supplier) SELECT s_suppkey, k::INT AS repetition, k * n + r AS position FROM r, range(0, 3) t(k) WHERE k * n + r < 2 * n + n // 3")
 def resize(spark, sf):
-    return alg.resized(table(spark, sf, "supplier").select("s_suppkey"), 230, 2, "s_suppkey").select("s_suppkey", "repetition", "position")
+    s = table(spark, sf, "supplier").select("s_suppkey")
+    n = s.count()
+    return alg.resized(s, 2 * n + n // 3, 2, "s_suppkey").select("s_suppkey", "repetition", "position")
 
 
 @query("G05_subset", "SELECT count(*) FILTER (NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l.k)) = 0 AS is_subset FROM (SELECT DISTINCT l_orderkey k FROM lineitem) l")

@@ -107,6 +107,18 @@ def raster_rows(spark, sf):
     return binary.to_pixels(r, ["vec_id"]).groupBy("vec_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z"), 4).alias("total"))
 
 
+@query("A14_png_depth", "SELECT vec_id, 8 AS h, 8 AS w, list_transform(range(1, 65), lambda i: floor(abs(embedding[i]::DOUBLE) * 10000) % 65536)::DOUBLE[] AS values FROM embeddings")
+def png_depth(spark, sf):
+    """Depth in sixteen bits, written as PNG and read again."""
+
+    @F.pandas_udf("binary")
+    def encode(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: binary.format_png((np.floor(np.abs(np.asarray(x, "f8")) * 10000) % 65536).astype(np.uint16).reshape(8, 8)))
+
+    files = table(spark, sf, "embeddings").select("vec_id", encode(F.col("embedding").cast("array<double>")).alias("content"))
+    return binary.decoded(files, "vec_id", "content", binary.parse_png)
+
+
 @query("A15_colour_labels", "SELECT p_partkey, CASE WHEN p_size % 7 < 5 THEN p_size % 7 + 1 ELSE 0 END AS id FROM part")
 def colour_labels(spark, sf):
     pal = table(spark, sf, "region").select((F.col("r_regionkey") * 10).alias("r"), (F.col("r_regionkey") * 20).alias("g"), F.lit(5).alias("b"), (F.col("r_regionkey") + 1).alias("id"))

@@ -76,7 +76,29 @@ def segment_triangle(spark, sf):
     return e.select("vec_id", segment_hits(start, end, (z, z, z), (s, z, z), (z, s, z)).alias("hit"))
 
 
-@query("K04_triangle_pairs", f"WITH t AS (SELECT vec_id, ox, oy FROM {_RAY}) SELECT vec_id, (ox >= 0 AND oy >= 0 AND ox + oy <= 0.4) OR (oy >= 0 AND oy <= 0.4 AND ox <= 0 AND ox + 0.3 >= 0 AND false) OR (ox + 0.15 >= 0 AND oy >= 0 AND ox + 0.15 + oy <= 0.4) OR (oy >= 0 AND oy <= 0.4 AND ox < 0 AND ox + 0.15 > 0) AS hit FROM t")
+def _volume(p, a, b, c) -> str:
+    """SQL of the signed volume of four points (triples of SQL terms)."""
+    u, v, w = ([f"(({x}) - ({y}))" for x, y in zip(q, p, strict=True)] for q in (a, b, c))
+    return f"({u[0]} * ({v[1]} * {w[2]} - {v[2]} * {w[1]}) - {u[1]} * ({v[0]} * {w[2]} - {v[2]} * {w[0]}) + {u[2]} * ({v[0]} * {w[1]} - {v[1]} * {w[0]}))"
+
+
+def _crossing(p, q, a, b, c) -> str:
+    """SQL: the ends of p-q lie on different sides of a triangle, and p-q passes its three edges on the same side."""
+    left, right = _volume(p, a, b, c), _volume(q, a, b, c)
+    sides = [_volume(p, q, x, y) for x, y in ((a, b), (b, c), (c, a))]
+    same = " OR ".join("(" + " AND ".join(f"{s} {op} 0" for s in sides) + ")" for op in ("<=", ">="))
+    return f"({left} * {right} < 0 AND ({same}))"
+
+
+def _triangles_cross(x, y) -> str:
+    return " OR ".join(_crossing(one[i], one[(i + 1) % 3], *other) for one, other in ((x, y), (y, x)) for i in range(3))
+
+
+_UPRIGHT = (("ox", "oy", "-1.0"), ("ox", "oy", "1.0"), ("ox + 0.3", "oy", "1.0"))
+_FLAT = (("0.0", "0.0", "0.0"), ("0.4", "0.0", "0.0"), ("0.0", "0.4", "0.0"))
+
+
+@query("K04_triangle_pairs", f"SELECT vec_id, {_triangles_cross(_UPRIGHT, _FLAT)} AS hit FROM (SELECT vec_id, ox, oy FROM {_RAY})")
 def triangle_pairs(spark, sf):
     """Upright triangles, which cross z = 0 from (ox, oy) to (ox + 0.15, oy), against the triangle of K03."""
     from ..operators.frustum import triangles_hit
@@ -91,7 +113,7 @@ def triangle_pairs(spark, sf):
 def view_records(spark, sf):
     edges = kept_edges(spark, sf).withColumn("scene", F.lit(0).cast("long"))
     own = loader.config({"dataset": "stand-in", "metric_scale": True, "synthetic": False}, {"mode": "tree", "high": 0.4, "low": None})
-    samples = spark.range(50).select(F.lit(0).cast("long").alias("scene"), F.col("id").alias("sample"))
+    samples = table(spark, sf, "supplier").select(F.lit(0).cast("long").alias("scene"), F.col("s_suppkey").cast("long").alias("sample"))
     chosen = loader.sampled_views(own, edges, samples, 6, 3)
     frames = table(spark, sf, "supplier").select(F.lit(0).cast("long").alias("scene"), F.col("s_suppkey").alias("view"), *[F.lit(x).alias(n) for n, x in (("fx", 6.0), ("fy", 6.0), ("cx", 3.5), ("cy", 3.5))])
     return loader.view_records(own, chosen, frames, grid(spark, sf).withColumnRenamed("vec_id", "view"))
