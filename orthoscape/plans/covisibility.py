@@ -78,25 +78,35 @@ def depth_covisibility(pixels: DataFrame, cameras: DataFrame, pairs: DataFrame |
 
     pixels: scene, view, row, col, z.  cameras: scene, view, fx, fy, cx, cy, h,
     w, m (camera to world, row by row) and inv (its inverse).  pairs: scene,
-    src, dst candidates; without them, those of ``overlapping_views``.  Each valid pixel of src is unprojected, projected
-    into dst, and looked up there by an equi join on the rounded pixel; counts
-    are combined before they are shuffled.
+    src, dst candidates; without them, those of ``overlapping_views``.  A view's
+    valid points and its raster are gathered once, as arrays of one row.  A
+    pair's row has the points of src and the raster of dst: its points are
+    exploded, projected and looked up in place, so that no row a pixel is
+    shuffled, only arrays, and a pair's count leaves its task as one row.
     """
     if pairs is None:
         pairs = overlapping_views(pixels, cameras, absolute - math.log(0.5) * temperature, relative)
     a = cameras.select("scene", F.col("view").alias("src"), *[F.col(c).alias(f"a_{c}") for c in ("fx", "fy", "cx", "cy", "m")])
-    b = cameras.select("scene", F.col("view").alias("dst"), *[F.col(c).alias(f"b_{c}") for c in ("fx", "fy", "cx", "cy", "h", "w", "inv")])
     finite = (F.col("z") > 0) & ~F.isnan("z") & (F.col("z") != float("inf"))
     own = pixels.filter(finite).withColumnRenamed("view", "src").join(a, ["scene", "src"])
     cam = ((F.col("col") - F.col("a_cx")) * F.col("z") / F.col("a_fx"), (F.col("row") - F.col("a_cy")) * F.col("z") / F.col("a_fy"), F.col("z"))
     m = [F.get("a_m", i) for i in range(16)]
     world = [(m[4 * i] * cam[0] + m[4 * i + 1] * cam[1] + m[4 * i + 2] * cam[2] + m[4 * i + 3]).alias(n) for i, n in enumerate(("wx", "wy", "wz"))]
-    points = own.select("scene", "src", *world).join(pairs, ["scene", "src"]).join(b, ["scene", "dst"])
-    row, col, d = projected((F.col("wx"), F.col("wy"), F.col("wz")), [F.get("b_inv", i) for i in range(16)], *[F.col(f"b_{c}") for c in ("fx", "fy", "cx", "cy")])
-    seen = points.select("scene", "src", "dst", row.alias("pr"), col.alias("pc"), d.alias("d"), "b_h", "b_w")
+    points = own.select("scene", "src", F.struct(*world).alias("p")).groupBy("scene", "src").agg(F.collect_list("p").alias("points"))
+    at = F.col("row") * F.col("w") + F.col("col")
+    cells = cameras.select("scene", "view", "w", F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("at"))
+    known = pixels.join(cameras.select("scene", "view", "w"), ["scene", "view"]).select("scene", "view", at.cast("int").alias("at"), "z")
+    raster = cells.select("scene", "view", "at").join(known, ["scene", "view", "at"], "left").groupBy("scene", F.col("view").alias("dst")).agg(F.sort_array(F.collect_list(F.struct("at", "z"))).alias("raster"))
+    b = cameras.select("scene", F.col("view").alias("dst"), *[F.col(c).alias(f"b_{c}") for c in ("fx", "fy", "cx", "cy", "h", "w", "inv")]).join(raster, ["scene", "dst"])
+    met = pairs.select("scene", "src", "dst").join(points, ["scene", "src"]).join(b, ["scene", "dst"])
+    spread = met.select("scene", "src", "dst", *[f"b_{c}" for c in ("fx", "fy", "cx", "cy", "h", "w", "inv")], "raster", F.explode("points").alias("p"))
+    row, col, d = projected((F.col("p.wx"), F.col("p.wy"), F.col("p.wz")), [F.get("b_inv", i) for i in range(16)], *[F.col(f"b_{c}") for c in ("fx", "fy", "cx", "cy")])
+    # Exploded, the place is a column of its own: a filter on it doesn't repeat the projection, and its code stays short.
+    place = F.explode(F.array(F.struct(row.alias("pr"), col.alias("pc"), d.alias("d")))).alias("q")
+    seen = spread.select("scene", "src", "dst", "b_h", "b_w", "raster", place).select("scene", "src", "dst", "b_h", "b_w", "raster", "q.pr", "q.pc", "q.d")
     seen = seen.filter((F.col("pr") >= 0) & (F.col("pc") >= 0) & (F.col("d") > min_depth) & (F.col("pr") < F.col("b_h")) & (F.col("pc") < F.col("b_w")))
-    at = [F.least(F.bround(F.col(c)).cast("int"), F.col(f"b_{n}") - 1).alias(k) for c, n, k in (("pr", "h", "row"), ("pc", "w", "col"))]
-    looked = seen.select("scene", "src", "dst", "d", *at).join(pixels.select("scene", F.col("view").alias("dst"), "row", "col", F.col("z").alias("found")), ["scene", "dst", "row", "col"])
+    r, c = (F.least(F.rint(F.col(x)).try_cast("int"), F.col(f"b_{n}") - 1) for x, n in (("pr", "h"), ("pc", "w")))
+    looked = seen.select("scene", "src", "dst", "d", F.get("raster", r * F.col("b_w") + c)["z"].alias("found"))
     limit = absolute + relative * F.col("d") - F.log(F.lit(0.5)) * temperature
     hits = looked.filter(F.abs(F.col("d") - F.col("found")) < limit).groupBy("scene", "src", "dst").agg(F.count(F.lit(1)).alias("hits"))
     if denominator == "full":
