@@ -103,7 +103,6 @@ def quality_rules(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col
         F.size("_lines").alias("_n_lines"),
         F.size(F.filter("_lines", lambda x: x.rlike("^[\\x20\\x09]*[-*•|]"))).alias("_marked"),
         bound(F.array_join(F.filter("_words", lambda w: F.length(w) > 2), ""), lambda t: F.length(t) - F.length(F.regexp_replace(t, "\\p{Lu}+", ""))).alias("_upper"),
-        F.size(F.array_intersect(F.transform(F.array_distinct("_words"), lambda w: F.lower(w)), stops)).alias("_kinds"),
         F.size(F.filter("_words", lambda w: F.array_contains(stops, F.lower(w)))).alias("_stops"),
     )
     n = F.greatest(F.col("n_words"), F.lit(1))

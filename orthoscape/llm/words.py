@@ -7,6 +7,7 @@ at document borders only, so that a very long text forms a chunk by itself.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,16 +27,25 @@ WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
 #: Letters, digits and bytes over 0x7F apart from signs.
 TOKEN = WORD * 2
 TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+@functools.lru_cache(1)
+def _kept_tables() -> list[np.ndarray]:
+    return _made_tables(CHUNK_BYTES + 1)
+
+
+def _made_tables(n: int) -> list[np.ndarray]:
+    out = []
+    for base in (_BASE, _INVERSE):
+        table = np.full(n, base, np.uint64)
+        table[0] = 1
+        out.append(np.multiply.accumulate(table))
+    return out
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
-            table[0] = 1
-            _powers[i] = np.multiply.accumulate(table)
-    return _powers
+    """Powers 0 to n - 1 at least; those for a text over CHUNK_BYTES aren't kept."""
+    return _kept_tables() if n <= CHUNK_BYTES + 1 else _made_tables(n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
