@@ -241,3 +241,17 @@ def fuse(a: Column, b: Column) -> Column:
     """a where valid, else b where valid, else 0."""
     ok = lambda z: F.coalesce((z > 0) & ~F.isnan(z) & (z != float("inf")), F.lit(False))
     return F.when(ok(a), a).when(ok(b), b).otherwise(F.lit(0.0))
+
+
+def stacked(df: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
+    """(by, items, lengths, stack): a group's arrays in order, as they are (ragged) and as one array padded with nulls.
+
+    Arrays of equal length need no padding; a group is one row, so it is meant
+    for batches, not for whole tables.
+    """
+    held = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("_l"))
+    items = held.select(*by, F.transform("_l", lambda x: x["v"]).alias("items")).withColumn("lengths", F.transform("items", F.size))
+    longest = F.array_max("lengths")
+    kind = df.schema[value].dataType.elementType
+    pad = F.transform("items", lambda v: F.concat(v, F.array_repeat(F.lit(None).cast(kind), longest - F.size(v))))
+    return items.withColumn("stack", pad)

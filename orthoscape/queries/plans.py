@@ -57,6 +57,11 @@ def json(spark, sf):
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.to_json(F.struct(F.col("event_id").alias("id"))).alias("encoded"))
 
 
+@query("N08_time_stamps", "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso FROM events")
+def time_stamps(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyyMMdd_HHmmss").alias("stamp"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
+
+
 @query("P01_spacing", "SELECT p_partkey, round(2 * (50.0::DOUBLE + p_size) * tan(radians(60.0) / 2), 6) AS swath, round(greatest(0.2, 2 * (50.0::DOUBLE + p_size) * tan(radians(60.0) / 2) * (1 - 0.8::DOUBLE)), 6) AS lane FROM part")
 def spacing(spark, sf):
     h, f = 50.0 + F.col("p_size"), F.lit(60.0)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import raster as ras
 from .filtering import pixels
-from .registry import query
+from .registry import query, table
 
 # The grids with depth rounded, so that borders of tests are the same in both engines.
 _P = "(SELECT vec_id, ((i - 1) // 8)::INT AS y, ((i - 1) % 8)::INT AS x, round(embedding[i]::DOUBLE * 10, 3) + 0.0 AS z FROM embeddings, range(1, 65) t(i))"
@@ -219,6 +219,13 @@ def vector_angle(spark, sf):
     return grid(spark, sf).select("vec_id", "y", "x", F.round(F.degrees(a), 4).alias("angle"), F.round(F.log1p(F.abs("z")), 6).alias("lg"))
 
 
+@query("J22_ragged_stack", """WITH v AS (SELECT label, vec_id, list_transform(embedding[1:(2 + vec_id % 5)::INT], lambda x: round(x::DOUBLE, 5)) AS v FROM embeddings), m AS (SELECT label, max(len(v)) AS n FROM v GROUP BY 1)
+ SELECT label, list(len(v)::INT ORDER BY vec_id) AS lengths, list(list_resize(v, n) ORDER BY vec_id) AS stack FROM v JOIN m USING (label) GROUP BY 1""")
+def ragged_stack(spark, sf):
+    e = table(spark, sf, "embeddings").select("label", "vec_id", F.transform(F.slice("embedding", F.lit(1), (2 + F.col("vec_id") % 5).cast("int")), lambda x: F.round(x.cast("double"), 5)).alias("v"))
+    return ras.stacked(e, ["label"], "vec_id", "v").select("label", "lengths", "stack")
+
+
 @query("J23_denormalise", f"SELECT vec_id, y, x, floor(255 * greatest(0.0, least(1.0, z * 0.229 + 0.485)))::INT AS u8 FROM {_P}")
 def denormalise(spark, sf):
     v = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("z") * 0.229 + 0.485))

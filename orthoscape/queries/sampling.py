@@ -187,6 +187,14 @@ def sample_seeds(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", sample_seed(F.col("s_name"), 12345).alias("seed"))
 
 
+@query("H18_retry", f"""WITH a AS (SELECT s_suppkey, k, CASE WHEN k = 0 THEN s_suppkey ELSE floor({_U.format(chr(39) + '19|' + chr(39) + ' || s_suppkey || ' + chr(39) + '|' + chr(39) + ' || k')} * (SELECT count(*) FROM supplier))::BIGINT END AS i FROM supplier, range(0, 4) t(k)),
+ g AS (SELECT s_suppkey, min(k) AS k, arg_min(i, k) AS i FROM a WHERE NOT EXISTS (SELECT 1 FROM supplier f WHERE f.s_suppkey = a.i AND f.s_nationkey % 2 = 0) GROUP BY 1)
+ SELECT s.s_suppkey, g.i AS used, g.k::INT AS attempt FROM supplier s LEFT JOIN g ON g.s_suppkey = s.s_suppkey""")
+def retry(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return smp.retried(s.select("s_suppkey"), s.filter("s_nationkey % 2 = 0"), "s_suppkey", s.count(), 3, 19)
+
+
 @query("H19_item_uniform", f"SELECT o_orderkey, round({_U.format(chr(39) + '42|' + chr(39) + ' || o_orderkey')}, 9) AS u FROM orders")
 def item_uniform(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.round(uniform(42, F.col("o_orderkey")), 9).alias("u"))
