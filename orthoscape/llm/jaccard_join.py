@@ -147,31 +147,40 @@ def _batch(key: np.ndarray, node: np.ndarray, wanted: KeyFilter | None) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node.view(np.int64))], ["key", "node"])
 
 
-def _keyer(width: int, percent: int, wanted: KeyFilter | None):
-    """Keys of each set, once a task for equal sets: copies are combined before the shuffle."""
+def _standing(batch: pa.RecordBatch, stand: KeyFilter) -> pa.Array:
+    """Texts of the rows (hash, text) that may stand for their set."""
+    may = stand.may_hold(batch.column(0).to_numpy())
+    return batch.column(1) if may.all() else batch.column(1).filter(pa.array(may))
+
+
+def _keyer(width: int, percent: int, stand: KeyFilter, wanted: KeyFilter | None):
+    """Keys of each set, of one of its rows: copies send none."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            for words in word_chunks(batch.column(0), lower=True):
+            for words in word_chunks(_standing(batch, stand), lower=True):
                 tokens, offsets = shingles(words, width)
                 node = _set_hashes(tokens, offsets)
-                first = []
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                for i, x in enumerate(node.tolist()):
-                    if x and x not in seen:
-                        seen.add(x)
-                        first.append(i)
-                if not first:
-                    continue
-                part = [tokens[offsets[i] : offsets[i + 1]] for i in first]
-                at, key = parity_keys(np.concatenate(part), np.concatenate([[0], np.cumsum([len(p) for p in part])]), percent)
-                yield _batch(key, node[np.array(first)][at], wanted)
+                at, key = parity_keys(tokens, offsets, percent)
+                yield _batch(key, node[at], wanted)
 
     return keys
 
 
+def _texter(width: int, stand: KeyFilter, wanted: KeyFilter):
+    """(node, text) of the wanted sets; a row that the filters can't clear is there besides."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            standing = _standing(batch, stand)
+            for words in word_chunks(standing, lower=True):
+                node = _set_hashes(*shingles(words, width))
+                keep = pa.array((node != 0) & wanted.may_hold(node))
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)).filter(keep), standing.slice(words.lo, words.hi - words.lo).filter(keep)], ["node", "text"])
+
+    return texts
+
+
 def _refiner(width: int, percent: int, wanted: KeyFilter | None):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,21 +197,29 @@ def _refiner(width: int, percent: int, wanted: KeyFilter | None):
 
 
 def _multi(stage: Stage, texts: DataFrame, keyer, name: str) -> DataFrame:
-    """(key, node) of the buckets that hold two nodes at least.
+    """(key, node) of the buckets that hold two nodes at least; a few hold one that was sent twice.
 
-    A key's smallest and largest node are combined before the shuffle, so a
-    key of any number of sets is a row a task.  Then only the keys of such
-    buckets are made again: most sets share none.
+    A key's rows are counted, combined before the shuffle, so a key of any
+    number of sets is a row a task.  Then only the keys of such buckets are
+    made again: most sets share none.
     """
     schema = "key long, node long"
-    ends = texts.mapInArrow(keyer(None), schema).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = stage.write(ends.filter("lo < hi").select("key"), f"{name}-keys")
+    counted = texts.mapInArrow(keyer(None), schema).groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    shared = stage.write(counted.filter("m > 1").select("key"), f"{name}-keys")
     rows = texts.mapInArrow(keyer(key_filter(shared, "key")), schema).distinct().join(shared, "key", "left_semi")
     multi = stage.write(rows, name)
     stage.drop(f"{name}-keys")
     return multi
 
 
+def _elected(stage: Stage, multi: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """(key, m, share, hub) of each bucket: its members, the mean share of their parts that they have in
+    common with anyone, and the member that most buckets hold."""
+    popular = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop")).join(classes.select("node", "n"), "node")
+    scored = multi.join(popular.select("node", "pop", (F.col("pop") / F.col("n")).alias("share")), "node")
+    return stage.write(scored.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.avg("share").alias("share"), F.max_by("node", F.struct("pop", "node")).alias("hub")), name)
+
+
 class _Forest:
     def __init__(self):
         self.up: dict[int, int] = {}
@@ -327,36 +344,33 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     signed = stage.write(base.mapInArrow(_signer(width), "doc_id long, row long, node long, n_shingles long"), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     classes = stage.write(signed.filter("n_shingles > 0").groupBy("node").agg(least.alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n")), "classes")
-    multi = _multi(stage, base.select("text"), functools.partial(_keyer, width, percent), "multi")
+    stand = key_filter(classes.select(F.xxhash64("least.row").alias("h")), "h")
+    hashed = base.select(F.xxhash64("row").alias("h"), "text")
+    multi = _multi(stage, hashed, functools.partial(_keyer, width, percent, stand), "multi")
 
     wanted = stage.write(multi.select("node").distinct(), "wanted")
-    rep = classes.join(wanted, "node").select(F.col("least.row").alias("row"), "node", "copies")
-    may_stand = key_filter(rep.select(F.xxhash64("row").alias("h")), "h")
-    texts = stage.write(base.select("row", "text").filter(may_stand.column(F.xxhash64("row"))).join(rep, "row"), "texts")
+    texts = stage.write(hashed.mapInArrow(_texter(width, stand, key_filter(wanted, "node")), "node long, text string"), "texts")
 
     # Near copies share many parts.  A large bucket whose members share few parts with anyone
     # holds texts that have a passage in common, and is split by another dealing of their sets.
-    common = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop")).join(classes, "node").select("node", (F.col("pop") / F.col("n")).alias("share"))
-    held = multi.join(common, "node").groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.avg("share").alias("share"))
-    large = held.filter((F.col("m") > REFINE_ABOVE) & (F.col("share") < REFINE_BELOW)).select("key")
+    buckets = _elected(stage, multi, classes, "buckets")
+    large = buckets.filter((F.col("m") > REFINE_ABOVE) & (F.col("share") < REFINE_BELOW)).select("key")
     if large.limit(1).count():
-        rows = stage.write(multi.join(large, "key").join(texts.select("node", "text"), "node").select("key", "node", "text"), "large")
+        rows = stage.write(multi.join(large, "key").join(texts, "node").select("key", "node", "text"), "large")
         finer = _multi(stage, rows, functools.partial(_refiner, width, percent), "finer")
         multi = stage.write(multi.join(large, "key", "left_anti").unionByName(finer), "refined")
-        stage.drop("multi", "finer", "large")
-
-    popular = multi.groupBy("node").agg(F.count(F.lit(1)).alias("pop"))
-    elect = multi.join(popular, "node").groupBy("key").agg(F.max_by("node", F.struct("pop", "node")).alias("hub"))
-    star = stage.write(multi.join(elect, "key").select("node", "hub").distinct(), "star")
+        stage.drop("multi", "finer", "large", "buckets")
+        buckets = _elected(stage, multi, classes, "rebuckets")
+    star = stage.write(multi.join(buckets.select("key", "hub"), "key").select("node", "hub").distinct(), "star")
 
-    hubs = star.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
+    hubs = star.groupBy("node").agg(F.sort_array(F.collect_list("hub")).alias("hubs")).join(classes.select("node", "copies"), "node")
     sized = star.groupBy("hub").agg(F.count(F.lit(1)).alias("m"))
     placed = rank_in_group(star, ["hub"], F.col("node"), "place")
     blocks = attach_by_key(placed.withColumn("block", F.floor(F.col("place") / F.lit(BLOCK)).cast("int")), sized, ["hub"], star.count(), "m")
     last = F.floor((F.col("m") - 1) / F.lit(BLOCK)).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), last), lambda o: F.struct(F.least("block", o).alias("lb"), F.greatest("block", o).alias("rb"), F.when(F.col("block") <= o, 0).otherwise(1).alias("side"))))
     spread = blocks.select("hub", "node", pair.alias("p")).select("hub", "node", "p.lb", "p.rb", "p.side")
-    work = spread.join(hubs, "node").join(texts.select("node", "copies", "text"), "node").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
+    work = spread.join(hubs, "node").join(texts, "node").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
     found = stage.write(work.select("hub", "lb", "rb", "node", "side", "copies", "hubs", "text").mapInArrow(_comparer(width, percent), "a long, b long, n long"), "found")
     stage.drop("texts", "wanted")
 
@@ -365,7 +379,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(degree, "node", "left")
     smallest = named.groupBy("root").agg(F.min("least").alias("top"))
     verdict = stage.write(named.join(smallest, "root").select("node", "top", "copies", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "verdict")
-    stage.drop("found", "star", "refined", "multi", "classes")
+    stage.drop("found", "star", "refined", "multi", "classes", "buckets", "rebuckets")
     total = signed.count()
     # Texts without a shingle share no class; they stay out of the join, where they'd be one hot key.
     out = attach_by_key(signed.filter("n_shingles > 0"), verdict, ["node"], total, "copies").unionByName(signed.filter("n_shingles = 0"), allowMissingColumns=True)

@@ -91,6 +91,22 @@ def test_jaccard_join(spark, near_copies, monkeypatch, width, percent, refine):
     assert len(got) == len(near_copies)
 
 
+def test_jaccard_join_of_a_large_family(spark, monkeypatch):
+    """A thousand distinct near copies, over many blocks of one hub, beside copies of one text."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    rng = random.Random(11)
+    base = prose(rng, 90, 10**6)
+    texts = ["same text of six words here"] * 300
+    for i in range(1000):
+        copy = list(base)
+        copy[rng.randrange(90)] = f"e{i}"
+        if i % 2:
+            copy[rng.randrange(90)] = f"f{i}"
+        texts.append(" ".join(copy))
+    got = jaccard_join.jaccard_components(spark, table(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got} == brute_components(texts, 4, 85)
+
+
 def test_parity_keys_lose_no_link():
     """Linked sets share a key, at every size and for as many differences as the threshold allows."""
     rng = np.random.default_rng(5)
