@@ -19,6 +19,9 @@ from ..sources.shared import shared_dir
 #: Spark's own removal of a query's shuffle files when it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Rows carry whole texts: batches of this many keep the buffers of a task small.
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
 
 class Stage:
     """A folder of staged tables belonging to one run of one operator, deleted when the driver ends."""
@@ -32,12 +35,15 @@ class Stage:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write df as Parquet, with its shuffle files gone afterwards, and read it back with its schema given."""
         path = f"{self.root}/{name}"
-        before = self.spark.conf.get(_CLEANUP)
-        self.spark.conf.set(_CLEANUP, "true")
+        own = {_CLEANUP: "true", _BATCH: str(min(BATCH_ROWS, int(self.spark.conf.get(_BATCH, "10000")) or BATCH_ROWS))}
+        before = {k: self.spark.conf.get(k, None) for k in own}
+        for k, v in own.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(_CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
