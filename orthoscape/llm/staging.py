@@ -6,88 +6,20 @@ executor sees, so a lost executor costs a recomputation of its own tasks only.
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_dir
-
-#: Spark's own removal of a query's shuffle files when it has ended.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-#: Rows carry whole texts: batches of this many keep the buffers of a task small.
-_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
-
-
-class Stage:
-    """A folder of staged tables belonging to one run of one operator, deleted when the driver ends."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        atexit.register(self._remove)
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df as Parquet, with its shuffle files gone afterwards, and read it back with its schema given."""
-        path = f"{self.root}/{name}"
-        own = {_CLEANUP: "true", _BATCH: str(min(BATCH_ROWS, int(self.spark.conf.get(_BATCH, "10000")) or BATCH_ROWS))}
-        before = {k: self.spark.conf.get(k, None) for k in own}
-        for k, v in own.items():
-            self.spark.conf.set(k, v)
-        try:
-            df.write.parquet(path)
-        finally:
-            for k, v in before.items():
-                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Delete staged tables that nothing reads any more."""
-        for name in names:
-            self._delete(f"{self.root}/{name}")
-
-    def _delete(self, path: str) -> None:
-        at = self.jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(self.conf).delete(at, True)
-
-    def _remove(self) -> None:
-        try:
-            self._delete(self.root)
-        except Exception:  # the session's JVM has ended already  # noqa: BLE001, S110
-            pass
+from ..operators.sequential import rank_in_group
+from ..sources.shared import Stage
 
+__all__ = ["KeyFilter", "Stage", "attach_by_key", "key_filter", "partitions", "rank_in_group", "without_rows"]
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def rank_in_group(df: DataFrame, keys: list[str], order: Column, out: str, rows_per_bucket: int = 50_000, bucket: Column | None = None) -> DataFrame:
-    """Add ``out``: a dense 0-based rank of each row inside its group.
-
-    The order inside a group is (bucket of ``order``'s hash, order).  A group,
-    however hot, is spread over many buckets: buckets are counted, their
-    offsets summed, and rows ranked inside (group, bucket) only, so no task
-    ever sorts a whole group.  ``order`` must be unique inside a group.  With
-    ``bucket``, which must not fall as ``order`` rises, the rank is that of
-    ``order`` itself.
-    """
-    if bucket is None:
-        buckets = max(1, -(-df.count() // rows_per_bucket))
-        bucket = F.pmod(F.xxhash64("_order"), F.lit(buckets))
-    tagged = df.withColumn("_order", order).withColumn("_bucket", bucket)
-    sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_order")
-    ranked = tagged.withColumn("_within", F.row_number().over(inside) - 1)
-    return ranked.join(offsets, [*keys, "_bucket"]).withColumn(out, (F.col("_base") + F.col("_within")).cast("long")).drop("_order", "_bucket", "_base", "_within")
-
-
 def attach_by_key(left: DataFrame, right: DataFrame, key: list[str], total: int, size: str, share: int = 1000) -> DataFrame:
     """Left join on a key that may be very hot; right has one row a key.
 

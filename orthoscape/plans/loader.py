@@ -83,14 +83,14 @@ def sampled_views(loader: Loader, edges: DataFrame, samples: DataFrame, views: i
         "random_walk": lambda g, n, r: walks.random_walk(g, n, r, loader.low, loader.high, loader.topk),
         "tree": lambda g, n, r: walks.tree(g, n, r, loader.low, loader.high, loader.topk),
         "star": lambda g, n, r: walks.star(g, n, r, loader.low, loader.high, loader.topk),
-        "chain": lambda g, n, r: walks.chain(g, n, int(g.nodes[r.integers(len(g.nodes))]), loader.low, loader.high, loader.topk) if g.nodes else [],
+        "chain": lambda g, n, r: walks.chain(g, n, g.pick(r), loader.low, loader.high, loader.topk) if g.size else [],
     }[loader.mode]
 
     def padded(g: walks.Graph, n: int, r) -> list[int]:
-        got = rule(g, n, r) or ([int(g.nodes[r.integers(len(g.nodes))])] if g.nodes else [])
+        got = rule(g, n, r) or ([g.pick(r)] if g.size else [])
         return (got * n)[:n] if got else []
 
-    return walks.sample_walks(edges, samples, padded, views, seed)
+    return walks.sample_walks(edges, samples, padded, views, seed, least=loader.low)
 
 
 def view_records(loader: Loader, chosen: DataFrame, frames: DataFrame, pixels: DataFrame) -> DataFrame:

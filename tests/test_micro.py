@@ -519,3 +519,45 @@ def test_rules_of_sets_by_name(spark):
     scenes = spark.createDataFrame([("r", splits.REAL_TEST_PREFIXES[0] + "1"), ("r", "x"), ("t", splits.AMBIGUITY_TEST[0]), ("t", "x")], "dataset string, scene string")
     got = sorted(tuple(r) for r in splits.splits_of(spark, scenes, splits.real_rules("r") + splits.ambiguity_rules("t")).collect())
     assert got == sorted([("r", splits.REAL_TEST_PREFIXES[0] + "1", "test"), ("r", splits.REAL_TEST_PREFIXES[0] + "1", "val"), ("r", "x", "train"), ("t", splits.AMBIGUITY_TEST[0], "test")])
+
+
+def test_walks_on_rows_of_views_are_those_on_whole_scenes(spark):
+    import functools
+
+    rng = np.random.default_rng(5)
+    edges = spark.createDataFrame([(s, 3 * a, 3 * b, float(rng.random())) for s in (1, 2) for a in range(14) for b in range(14) if a != b and rng.random() < 0.4], "scene long, src long, dst long, w double")
+    samples = spark.createDataFrame([(s, i) for s in (1, 2, 3) for i in (0, 3, 4, 9)] + [(1, 9)], "scene long, sample long")
+
+    def chain(g, n, rng, sample):
+        return walks.chain(g, n, sample, 0.2, 0.7, 5)
+
+    for f, own in ((chain, True), (functools.partial(walks.random_walk, low=0.2, high=0.7, k=5), False), (functools.partial(walks.tree, low=0.2, high=0.7, k=5), False)):
+        whole, paged = (sorted(map(tuple, walks.sample_walks(edges, samples, f, 5, 1, own, 0.2, copied).collect())) for copied in (10**6, 0))
+        assert whole == paged and len({r[3] for r in paged}) > 3
+
+
+def test_points_make_their_own_edges():
+    rng = np.random.default_rng(6)
+    ids, at = rng.permutation(60) * 2, np.round(rng.random((60, 2)) * 6, 2)
+    near = [(a, b, math.exp(-3 * math.sqrt((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2))) for a, p in zip(ids, at, strict=True) for b, q in zip(ids, at, strict=True) if a != b and (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= 0.49]
+    whole, lazy = walks.Graph(*zip(*near, strict=True)), walks.PointGraph(ids, at[:, 0], at[:, 1], 3, 0.7)
+    assert lazy.nodes == whole.nodes and len(whole.nodes) < 60
+    assert all(lazy.row(a) == pytest.approx(whole.row(a)) and lazy.weight(a, b) == pytest.approx(whole.weight(a, b)) for a in range(121) for b in range(121))
+
+
+def test_points_of_many_views_and_of_many_batches(spark):
+    import collections
+    import itertools
+
+    from orthoscape.plans import covisibility
+
+    rows = [(v, p) for p in range(40) for v in range(7 * (p % 3), 7 * (p % 3) + (600 if p == 5 else 9))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.src, r.dst): r.shared for r in covisibility.shared_point_edges(spark.createDataFrame(rows, "view long, point string"), "view", "point").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = collections.defaultdict(list)
+    for v, p in rows:
+        seen[p].append(v)
+    assert got == collections.Counter(e for vs in seen.values() for e in itertools.permutations(vs, 2))
