@@ -11,10 +11,13 @@ neighbour, make a bucket.
 
 Equal sets share one node, so copies never meet as pairs.  Each bucket elects
 the member that most buckets hold as its hub.  Members are gathered under
-their hubs, a node once for each of its hubs, and compared there in blocks by
-exact intersection sizes.  Two linked nodes share a bucket and hence its hub,
-so no link is lost, and no pair is ever a row: blocks return the links' counts
-and a spanning forest.
+their hubs, a node once for each of its hubs, and compared there in blocks,
+twice.  First by sketches of a byte a part: where more parts differ than
+linked sets can have shingles apart, the pair is no link, and members without
+another pair leave the block.  Then by exact intersection sizes, for which the
+remaining members' texts are sent.  Two linked nodes share a bucket and hence
+its hub, so no link is lost, and no pair is ever a row: blocks return the
+links' counts and a spanning forest.
 """
 
 from __future__ import annotations
@@ -39,6 +42,19 @@ REFINE_BELOW = 0.05
 LEVELS = 4
 
 
+def _bands(sizes: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Sizes of 1 at least, the bands' edges, each set's band, and of each band the largest partner of its sets and the most shingles that link apart."""
+    w = (100 / percent) ** 1.5
+    n = np.maximum(sizes, 1)
+    edges = [1]
+    while edges[-1] <= int(n.max(initial=1)):
+        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * w))))
+    edges = np.array(edges, np.int64)
+    largest = edges[1:] - 1  # of a band
+    partner = largest * 100 // percent
+    return n, edges, np.searchsorted(edges, n, "right") - 1, partner, (100 - percent) * (largest + partner) // (100 + percent)
+
+
 def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each document, the (band, parts, slack, present) of its own band and of the band below.
 
@@ -48,17 +64,8 @@ def band_plan(sizes: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndar
     links, so that more than ``slack`` parts of linked sets are equal.  slack is
     what a set of the band's smallest size leaves empty, with a margin.
     """
-    w = (100 / percent) ** 1.5
-    n = np.maximum(sizes, 1)
-    edges = [1]
-    while edges[-1] <= int(n.max(initial=1)):
-        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * w))))
-    edges = np.array(edges, np.int64)
-    own = np.searchsorted(edges, n, "right") - 1
-    largest = edges[1:] - 1  # of a band
-    partner = largest * 100 // percent
-    differ = (100 - percent) * (largest + partner) // (100 + percent)
-    slack = np.zeros(len(largest), np.int64)
+    n, edges, own, partner, differ = _bands(sizes, percent)
+    slack = np.zeros(len(differ), np.int64)
     for _ in range(8):
         parts = differ + 1 + slack
         empty = np.where(differ > 0, parts * np.exp(-edges[:-1] / parts), 0)
@@ -116,6 +123,31 @@ def parity_keys(tokens: np.ndarray, offsets: np.ndarray, percent: int, salt: np.
     return np.concatenate(docs_out), np.concatenate(keys_out)
 
 
+def part_bytes(tokens: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Each set's band, and a byte a part of it for its own band and for the band below (empty where no set of that band links with it).
+
+    A band's sets are all dealt over as many parts, somewhat more than linked
+    sets can differ in, so that sets without relation differ in too many.
+    """
+    sizes = np.diff(offsets)
+    n, _, own, partner, differ = _bands(sizes, percent)
+    below = np.maximum(own - 1, 0)
+    parts = differ + differ // 4 + 8
+    mixed, out = mix(tokens + np.uint64(0x2545F4914F6CDD1D)), []
+    for band, present in ((own, sizes > 0), (below, (sizes > 0) & (own > 0) & (n <= partner[below]))):
+        many = np.where(present, parts[band], 0)
+        begin = np.concatenate([[0], np.cumsum(many)])
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        at = begin[row] + (((tokens >> np.uint64(32)) * many.astype(np.uint64)[row]) >> np.uint64(32)).astype(np.int64)
+        at, values = at[present[row]], mixed[present[row]]
+        data = np.zeros(begin[-1], np.uint8)
+        if len(at):
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            data[at[first]] = (mix(np.bitwise_xor.reduceat(values, first)) >> np.uint64(56)).astype(np.uint8)
+        out.append(pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary()))
+    return own, *out
+
+
 def _set_hashes(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each set; 0 for empty sets only."""
     out = np.zeros(len(offsets) - 1, np.uint64)
@@ -181,6 +213,22 @@ def _texter(width: int, stand: KeyFilter, wanted: KeyFilter):
     return texts
 
 
+def _sketcher(width: int, percent: int, stand: KeyFilter, wanted: KeyFilter):
+    """(node, n, band, own, below) of the wanted sets."""
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in word_chunks(_standing(batch, stand), lower=True):
+                tokens, offsets = shingles(words, width)
+                node = _set_hashes(tokens, offsets)
+                keep = pa.array((node != 0) & wanted.may_hold(node))
+                band, own, below = part_bytes(tokens, offsets, percent)
+                cols = [pa.array(node.view(np.int64)), pa.array(np.diff(offsets)), pa.array(band), own, below]
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in cols], ["node", "n", "band", "own", "below"])
+
+    return sketches
+
+
 def _refiner(width: int, percent: int, wanted: KeyFilter | None):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,6 +311,80 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return out.astype(np.int64)
 
 
+#: Bytes of parts that a task compares at a time.
+BYTES_AT_ONCE = 1 << 23
+
+
+def may_link(left: np.ndarray, right: np.ndarray, n: np.ndarray, band: np.ndarray, own: list[bytes], below: list[bytes], percent: int) -> np.ndarray:
+    """Whether each set may link with a set of the other side: all but those whose parts tell them apart from every one.
+
+    left and right are places in the other arrays; they may be the same array.
+    """
+    ok = np.zeros(len(n), bool)
+
+    def meet(x: np.ndarray, y: np.ndarray, xs: list[bytes], ys: list[bytes]) -> None:
+        if not len(x) or not len(y):
+            return
+        a, b = (np.frombuffer(b"".join([of[i] for i in at.tolist()]), np.uint8).reshape(len(at), -1) for at, of in ((x, xs), (y, ys)))
+        step = max(1, BYTES_AT_ONCE // b.size)
+        for lo in range(0, len(x), step):
+            at = x[lo : lo + step]
+            apart = np.count_nonzero(a[lo : lo + step, None] != b[None], axis=2)
+            hit = ((100 + percent) * apart <= (100 - percent) * (n[at][:, None] + n[y][None])) & (at[:, None] != y[None])
+            ok[at] |= hit.any(1)
+            ok[y] |= hit.any(0)
+
+    upper = np.array([len(b) > 0 for b in below], bool)
+    for b in np.unique(band).tolist():
+        a, c = (side[(band[side] == b) & (n[side] > 0)] for side in (left, right))
+        over, cover = (side[(band[side] == b + 1) & upper[side]] for side in (left, right))
+        meet(a, c, own, own)
+        meet(a, cover, own, below)
+        if left is not right:
+            meet(over, c, below, own)
+    return ok
+
+
+def _prober(percent: int):
+    """The rows that may link in their pair of blocks; they come ordered by (hub, left block, right block), a task at a time."""
+
+    def alive(t: pa.Table, same: bool) -> np.ndarray:
+        side, n, band = (t.column(c).to_numpy() for c in ("side", "n", "band"))
+        left = np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        if not len(left) or not len(right) or (same and len(left) < 2):
+            return np.zeros(len(side), bool)
+        return may_link(left, right, n, band, t.column("own").to_pylist(), t.column("below").to_pylist(), percent)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at = None
+
+        def flush() -> pa.Table:
+            t = pa.Table.from_batches(held)
+            return t.select(["hub", "lb", "rb", "node", "side"]).filter(pa.array(alive(t, at[1] == at[2])))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hub, lb, rb = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero((hub[1:] != hub[:-1]) | (lb[1:] != lb[:-1]) | (rb[1:] != rb[:-1])) + 1
+            out = []
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(hub)], strict=True):
+                here = (hub[lo], lb[lo], rb[lo])
+                if here != at:
+                    if held:
+                        out.append(flush())
+                    held, at = [], here
+                held.append(batch.slice(lo, hi - lo))
+            if out:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+        if held:
+            yield from flush().to_batches()
+
+    return probe
+
+
 def _comparer(width: int, percent: int):
     """Rows come ordered by (hub, left block, right block), a task at a time."""
 
@@ -348,15 +470,18 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     hashed = base.select(F.xxhash64("row").alias("h"), "text")
     multi = _multi(stage, hashed, functools.partial(_keyer, width, percent, stand), "multi")
 
-    wanted = stage.write(multi.select("node").distinct(), "wanted")
-    texts = stage.write(hashed.mapInArrow(_texter(width, stand, key_filter(wanted, "node")), "node long, text string"), "texts")
+    def texts_of(nodes: DataFrame, name: str) -> DataFrame:
+        return stage.write(hashed.mapInArrow(_texter(width, stand, key_filter(nodes, "node")), "node long, text string"), name)
 
     # Near copies share many parts.  A large bucket whose members share few parts with anyone
     # holds texts that have a passage in common, and is split by another dealing of their sets.
     buckets = _elected(stage, multi, classes, "buckets")
     large = buckets.filter((F.col("m") > REFINE_ABOVE) & (F.col("share") < REFINE_BELOW)).select("key")
     if large.limit(1).count():
-        rows = stage.write(multi.join(large, "key").join(texts, "node").select("key", "node", "text"), "large")
+        members = stage.write(multi.join(large, "key").select("key", "node"), "members")
+        texts = texts_of(stage.write(members.select("node").distinct(), "split"), "parted")
+        rows = stage.write(members.join(texts, "node").select("key", "node", "text"), "large")
+        stage.drop("parted", "split", "members")
         finer = _multi(stage, rows, functools.partial(_refiner, width, percent), "finer")
         multi = stage.write(multi.join(large, "key", "left_anti").unionByName(finer), "refined")
         stage.drop("multi", "finer", "large", "buckets")
@@ -370,9 +495,15 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     last = F.floor((F.col("m") - 1) / F.lit(BLOCK)).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), last), lambda o: F.struct(F.least("block", o).alias("lb"), F.greatest("block", o).alias("rb"), F.when(F.col("block") <= o, 0).otherwise(1).alias("side"))))
     spread = blocks.select("hub", "node", pair.alias("p")).select("hub", "node", "p.lb", "p.rb", "p.side")
-    work = spread.join(hubs, "node").join(texts, "node").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
+    wanted = stage.write(star.select("node").distinct(), "wanted")
+    bands = hashed.mapInArrow(_sketcher(width, percent, stand, key_filter(wanted, "node")), "node long, n long, band long, own binary, below binary").join(wanted, "node", "left_semi")
+    sketches = stage.write(bands.groupBy("node").agg(F.max(F.struct("n", "band", "own", "below")).alias("s")).select("node", "s.*"), "sketches")
+    probed = spread.join(sketches, "node").select("hub", "lb", "rb", "node", "side", "n", "band", "own", "below").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
+    near = stage.write(probed.mapInArrow(_prober(percent), "hub long, lb int, rb int, node long, side int"), "near")
+    texts = texts_of(stage.write(near.select("node").distinct(), "linking"), "texts")
+    work = near.join(hubs, "node").join(texts, "node").repartition("hub", "lb", "rb").sortWithinPartitions("hub", "lb", "rb", "side")
     found = stage.write(work.select("hub", "lb", "rb", "node", "side", "copies", "hubs", "text").mapInArrow(_comparer(width, percent), "a long, b long, n long"), "found")
-    stage.drop("texts", "wanted")
+    stage.drop("texts", "wanted", "sketches", "near", "linking")
 
     roots = connected_components(found.filter(F.col("b").isNotNull()).select("a", "b"), stage, "cc")
     degree = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))

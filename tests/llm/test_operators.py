@@ -91,6 +91,44 @@ def test_jaccard_join(spark, near_copies, monkeypatch, width, percent, refine):
     assert len(got) == len(near_copies)
 
 
+def test_parts_keep_every_link_and_tell_the_rest_apart():
+    rng = np.random.default_rng(3)
+    for percent in (50, 80, 85, 100):
+        sets = []
+        for size in (1, 2, 3, 7, 20, 21, 90, 400, 3000):
+            base = rng.integers(0, 2**64, size, np.uint64)
+            sets += [base, base[: -max(1, size // 12)], np.append(base[size // 8 :], rng.integers(0, 2**64, size // 8 + size // 20, np.uint64)), rng.integers(0, 2**64, size, np.uint64)]
+        sets = [np.unique(x) for x in sets if len(x)]
+        n, at = np.array([len(x) for x in sets]), np.arange(len(sets))
+        band, own, below = jaccard_join.part_bytes(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), percent)
+        own, below, kept = own.to_pylist(), below.to_pylist(), 0
+        for i, j in itertools.combinations(at.tolist(), 2):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            ok = jaccard_join.may_link(at[i : i + 1], at[j : j + 1], n, band, own, below, percent)
+            assert ok[i] == ok[j]
+            if 100 * shared >= percent * (n[i] + n[j] - shared):
+                assert ok[i]
+            elif percent in (80, 85) and 3 * shared < min(n[i], n[j]) > 15:
+                kept += ok[i]
+        assert kept == 0
+        alone = jaccard_join.may_link(at, at, n, band, own, below, percent)
+        assert all(alone[i] for i in at if any(i != j and (s := len(np.intersect1d(sets[i], sets[j]))) * 100 >= percent * (n[i] + n[j] - s) for j in at))
+
+
+def test_texts_are_sent_for_links_only(spark, monkeypatch):
+    """Members that share a passage, but are no near copies, meet by their parts; their texts stay."""
+    rng = random.Random(5)
+    passage = prose(rng, 60, 10**6)
+    texts = [" ".join(prose(rng, 60, 10**6) + passage + prose(rng, 60, 10**6)) for _ in range(30)]
+    twins = " ".join(prose(rng, 100, 10**6))
+    sent, write = {}, jaccard_join.Stage.write
+    monkeypatch.setattr(jaccard_join.Stage, "write", lambda self, df, name: sent.setdefault(name, write(self, df, name)))
+    monkeypatch.setattr(jaccard_join.Stage, "drop", lambda self, *names: None)
+    got = jaccard_join.jaccard_components(spark, table(spark, [*texts, twins + " x", twins + " y"])).collect()
+    assert {r.component_id for r in got if r.doc_id >= 30} == {30} and all(r.component_id == r.doc_id for r in got if r.doc_id < 30)
+    assert sent["star"].count() > 2 == sent["near"].select("node").distinct().count() == sent["texts"].select("node").distinct().count()
+
+
 def test_jaccard_join_of_a_large_family(spark, monkeypatch):
     """A thousand distinct near copies, over many blocks of one hub, beside copies of one text."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 64)
