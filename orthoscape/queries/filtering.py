@@ -165,7 +165,7 @@ def quarantine(spark, sf):
 def split_rules(spark, sf):
     rules = spark.createDataFrame(SPLIT_RULES, "dataset string, rule_order int, kind string, pattern string, splits array<string>")
     s = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("dataset"), F.col("c_name").alias("scene"))
-    return flt.assign_splits(s, rules)
+    return flt.assign_splits(s, rules, repeats=True)
 
 
 @query("B15_view_class", """WITH e AS (SELECT vec_id, embedding[4]::DOUBLE a, embedding[5]::DOUBLE b, embedding[6]::DOUBLE c FROM embeddings),

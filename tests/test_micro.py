@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -499,6 +500,19 @@ def test_csr_of_many_views(spark):
     assert time.time() - began < 15 and len(r["indptr"]) == r["shape"][0] + 1 and r["indptr"][-1] == len(r["indices"]) == e.count()
 
 
+@pytest.mark.parametrize("at_once", [100_000, 3])
+def test_split_lookups_are_never_broadcast(spark, monkeypatch, at_once):
+    """However small the table of scenes looks, each has many lookups; repeated scenes count as often as they come."""
+    monkeypatch.setattr(filters, "RULES_AT_ONCE", at_once)
+    rules = spark.createDataFrame([("d", 0, "name", "ab", ["x"]), ("d", 1, "prefix", "a", ["y", "z"]), ("d", 2, "prefix", "", []), ("e", 0, "all", "ignored", ["w"])], "dataset string, rule_order int, kind string, pattern string, splits array<string>")
+    scenes = spark.createDataFrame(pa.table({"dataset": ["d", "d", "d", "e", "d"], "scene": ["ab", "abc", "b", "q", "abc"]}))
+    got = filters.assign_splits(scenes, rules, repeats=True)
+    want = [("d", "ab", "x"), *[("d", "abc", "y")] * 2, *[("d", "abc", "z")] * 2, ("e", "q", "w")]
+    assert sorted(map(tuple, got.collect())) == want and sorted(map(tuple, filters.assign_splits(scenes, rules).collect())) == sorted(set(want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and ("SortMergeJoin" in plan) == (at_once == 3)
+
+
 def test_many_datasets_and_rules(spark):
     sizes = spark.range(12_000).select(F.format_string("d%06d", "id").alias("dataset"), (F.col("id") % 3).alias("size"))
     q = spark.createDataFrame([(0,), (1,), (2,), (11_999,), (12_000,), (-1,)], "index long")
