@@ -278,6 +278,30 @@ def test_mixing_many_sources(spark):
         assert max(r.slot_pos for r in got) == -(-len(sources) // 100) - 1 and max(r.slot for r in got) < 100 + 16
 
 
+@pytest.mark.parametrize("weights", [None, {"hot": 3, "s7": Fraction(5, 2), None: 0.75}])
+def test_each_of_many_sources_has_its_own_windows(spark, monkeypatch, weights):
+    """Beyond the sources whose names the driver holds, the order is that of the exact schedule still."""
+    monkeypatch.setattr(mixing, "NAMED_SOURCES", 16)
+    sources = ["hot"] * 300 + [f"s{i}" for i in range(200) for _ in range(i % 5 + 1)] + [None, "", "null"]
+    docs = table(spark, ["t"] * len(sources), sources)
+    rows = sorted(mixing.mix_sources(spark, docs, weights, block=2).collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in rows] == list(range(len(sources))) and len({r.doc_id for r in rows}) == len(sources)
+    count = collections.Counter(sources)
+    name = {s: "null" if s is None else "=" + s for s in count}
+    order = sorted(count, key=lambda s: (s not in (weights or {}), -count[s], name[s]))
+    target = [int(1000 * count[s] ** mixing.TEMPERATURE) if weights is None else weights.get(s, 0.75) for s in order]
+    whole = list(mixing.exact_weights(dict(enumerate(target))).values())
+    want = brute_schedule(whole, [-(-count[s] // 2) for s in order])
+    assert [order[i] for i in want] == [next(g).source for _, g in itertools.groupby(rows, key=lambda r: r.slot)]
+
+
+def test_schedule_of_a_million_sources_takes_seconds():
+    blocks = [1 + (i % 7 == 0) for i in range(1_000_000)]
+    began = time.time()
+    who = mixing.schedule([1000 * n for n in blocks], blocks)
+    assert time.time() - began < 60 and np.bincount(who).tolist() == blocks
+
+
 def test_mix_query_equals_brute_force(spark):
     from orthoscape.llm.queries import QUERIES
 
