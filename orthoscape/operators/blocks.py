@@ -17,7 +17,7 @@ BOX = ("x0", "y0", "z0", "x1", "y1", "z1")
 BLOCK = 1024
 SLABS = 64
 #: Tasks for each core, so that none waits for the last.
-TASKS_PER_CORE = 8
+TASKS_PER_CORE = 16
 
 Compare = Callable[[pa.Table, pa.Table, bool], Iterator[pa.RecordBatch]]
 

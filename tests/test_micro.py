@@ -277,6 +277,33 @@ def test_frustums_meet_in_paired_blocks(spark, monkeypatch):
     assert "MapInArrow" in plan.split("\n")[0] or "MapInArrow" in plan.split("\n")[1]
 
 
+@pytest.mark.parametrize("denominator", ["full", "target"])
+def test_covisibility_in_paired_blocks(spark, monkeypatch, denominator):
+    """Blocks of a few turned views of several sizes give what each pair gives by itself, and no pair is joined."""
+    from orthoscape.plans import covisibility
+
+    rng = np.random.default_rng(6)
+    cams, pix = [], []
+    for v in range(24):
+        h, w = 3 + v % 3, 4 + v % 2
+        m = np.eye(4)
+        m[:3, :3] = np.linalg.qr(np.eye(3) + 0.2 * rng.normal(size=(3, 3)))[0]
+        m[:3, :3] *= np.sign(np.diag(m[:3, :3]))
+        m[:3, 3] = rng.uniform(-3, 3, 3)
+        cams.append((v % 2, v, 5.0, 4.0, w / 2, h / 2, h, w, m.ravel().tolist(), np.linalg.inv(m).ravel().tolist()))
+        pix += [(v % 2, v, r, k, float(z)) for (r, k), z in zip([(r, k) for r in range(h) for k in range(w)], rng.uniform(3, 9, h * w), strict=True) if (r + k + v) % 7]
+    cams = spark.createDataFrame(cams, "scene int, view int, fx double, fy double, cx double, cy double, h int, w int, m array<double>, inv array<double>")
+    pix = spark.createDataFrame(pix, "scene int, view int, row int, col int, z double")
+    a, b = (cams.select("scene", F.col("view").alias(n)) for n in ("src", "dst"))
+    how = {"absolute": 1.5, "temperature": 0.1, "denominator": denominator}
+    want = sorted(map(tuple, covisibility.depth_covisibility(pix, cams, a.join(b, "scene").filter("src <> dst"), **how).collect()))
+    monkeypatch.setattr(covisibility, "BLOCK_PIXELS", 60)
+    monkeypatch.setattr(covisibility, "POINTS_AT_ONCE", 30)
+    out = covisibility.depth_covisibility(pix, cams, **how)
+    assert sorted(map(tuple, out.collect())) == want and len(want) > 50
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0]
+
+
 def strip_scene(rows=3, n=12):
     """Parallel strips of views on a grid; weights fall with distance."""
     at = {r * n + i: np.array([float(i), 1.5 * r, 0.0]) for r in range(rows) for i in range(n)}
